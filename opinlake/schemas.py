@@ -56,6 +56,9 @@ BRONZE_EVENT = _struct(
     " kafka_timestamp timestamp"
 )
 
+# JSON files keep the microseconds; by default Spark writes milliseconds.
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 OPINION_COLUMNS = (
     "product_id",
     "user_id",

@@ -61,6 +61,10 @@ def first_messages(records: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The raw records of the stream's bronze folder."""
+    return spark.read.schema(schemas.BRONZE_EVENT).options(**schemas.JSON_OPTIONS).json(path)
+
+
 def bronze_peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
-    """The first `n` raw records of the stream's bronze folder."""
-    return spark.read.schema(schemas.BRONZE_EVENT).json(path).limit(n)
+    return read_bronze(spark, path).limit(n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,20 +21,19 @@ def _lane(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_silver(spark: SparkSession, layout: LakeLayout) -> DataFrame:
-    """Both lanes as one relation.
+def read_silver(
+    spark: SparkSession, layout: LakeLayout, lanes: Sequence[str] = ("batch", "stream")
+) -> DataFrame:
+    """The lanes as one relation; one that was never written is left out.
 
     Each lane is read from its own folder, which keeps the commit log of the stream's file
     sink in force: files of unfinished micro-batches stay invisible.
     """
-    lanes = [
-        lane
-        for path in (layout.silver_batch, layout.silver_stream)
-        if (lane := _lane(spark, path)) is not None
-    ]
-    if not lanes:
+    paths = {"batch": layout.silver_batch, "stream": layout.silver_stream}
+    written = [rows for lane in lanes if (rows := _lane(spark, paths[lane])) is not None]
+    if not written:
         return spark.createDataFrame([], schemas.SILVER)
-    return union_lanes(*lanes)
+    return union_lanes(*written)
 
 
 def union_lanes(first: DataFrame, *others: DataFrame) -> DataFrame:

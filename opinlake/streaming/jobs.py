@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from opinlake import schemas
 from opinlake.functions.review import sentiment_of
 from opinlake.layout import LakeLayout, StreamSettings
 from opinlake.operators.events import decode, events_to_silver, open_envelope
@@ -64,6 +65,8 @@ def start_file_sink(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
+    if fmt == "json":
+        writer = writer.options(**schemas.JSON_OPTIONS)
     return (writer.queryName(name) if name else writer).start()
 
 

@@ -171,7 +171,7 @@ def batch_ingest_(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
     raw = history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
     batch_ingest.ingest_history(raw, layout)
-    return silver.read_silver(spark, layout)
+    return silver.read_silver(spark, layout, ["batch"])
 
 
 QUERIES["batch_ingest"] = QUERIES.pop("batch_ingest_")
@@ -559,14 +559,14 @@ def stream_parse(spark, sf_dir):
 def stream_bronze(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
     jobs.finish(jobs.start_bronze(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW))
-    return spark.read.schema(schemas.BRONZE_EVENT).json(layout.bronze_stream)
+    return event_source.read_bronze(spark, layout.bronze_stream)
 
 
 @query
 def stream_silver(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
     jobs.finish(jobs.start_silver(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW))
-    return silver.read_silver(spark, layout)
+    return silver.read_silver(spark, layout, ["stream"])
 
 
 @query
@@ -576,7 +576,7 @@ def stream_restart(spark, sf_dir):
     for _ in range(2):
         records = tb.record_stream(spark, sf_dir)
         jobs.finish(jobs.start_silver(records, layout, jobs.AVAILABLE_NOW))
-    return silver.read_silver(spark, layout)
+    return silver.read_silver(spark, layout, ["stream"])
 
 
 def _result_of(spark, result: DataFrame, name: str) -> DataFrame:
