@@ -54,12 +54,15 @@ def word_count(text: Column) -> Column:
 
 def word_count_strict(text: Column) -> Column:
     """Words between runs of white space, none of it counted at either end."""
-    stripped = strip(text_or_empty(text))
-    return (
-        F.when(stripped == "", 0)
-        .otherwise(F.size(F.split(stripped, f"[{WIDE_SPACE}]+")))
-        .cast("int")
-    )
+    text = text_or_empty(text)
+    pieces = F.size(F.split(text, f"[{WIDE_SPACE}]+"))
+
+    def blank_edge(edge: Column) -> Column:
+        return F.contains(F.lit(WIDE_SPACE_CHARS), edge).cast("int")
+
+    # White space at an edge splits off an empty piece there.
+    edges = blank_edge(F.substring(text, 1, 1)) + blank_edge(F.substring(text, -1, 1))
+    return F.when(text == "", 0).otherwise(pieces - edges).cast("int")
 
 
 def strip(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinlake.layout import LakeLayout, history_csv_path
 from opinlake.operators.cleaning import clean_history, history_to_silver
-from opinlake.session import build_session, use_utc
+from opinlake.session import build_session, spread, use_utc
 from opinlake.sources.history_csv import read_history_csv
 
 
@@ -30,14 +30,14 @@ def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
     """Append cleaned rows to bronze and enriched rows to silver.
 
     The three counts are observed while silver is written, so auditing reads nothing twice:
-    the input is scanned once per sink. The jobs are map-only; a lost executor costs its
-    tasks, and files appear when a job commits.
+    the input is scanned once per sink. A lost executor costs its tasks, and files appear when a job commits. Only an input of few files is shuffled.
     """
     counts = {name: Observation(name) for name in ("raw", "cleaned", "written")}
 
     def observed(rows: DataFrame, name: str) -> DataFrame:
         return rows.observe(counts[name], F.count(F.lit(1)).alias("rows"))
 
+    raw = spread(raw)
     cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
     silver = observed(history_to_silver(cleaned), "written")
     silver.write.mode("append").parquet(layout.silver_batch)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -66,9 +67,13 @@ def publish_snapshot(
     shared = relations["recent_reviews"]
     shared.write.parquet(f"{folder}/recent_reviews")
     relations["opinions"] = spark.read.schema(shared.schema).parquet(f"{folder}/recent_reviews")
-    for name, rows in relations.items():
-        if name != "recent_reviews":
-            rows.write.parquet(f"{folder}/{name}")
+    del relations["recent_reviews"]
+    # Small jobs that spend their time waiting: let them overlap.
+    with ThreadPoolExecutor(max_workers=len(relations)) as pool:
+        for done in [
+            pool.submit(rows.write.parquet, f"{folder}/{name}") for name, rows in relations.items()
+        ]:
+            done.result()
     problems = [
         row.report
         for row in completeness(spark, layout, snapshot_id).where(~F.col("complete")).collect()

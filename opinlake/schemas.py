@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def _struct(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+from pyspark.sql import types as T
+
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """A schema from `name type` pairs. Unlike the parser behind DDL strings this needs no
+    running session, so the package can be imported before one exists."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Column names and types of the exchanged relations.

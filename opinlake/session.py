@@ -68,6 +68,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/opinlake/{uuid.uuid4().hex}/{name}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share when the input has fewer files than there are cores.
+
+    Files that cannot be split would otherwise keep the work behind the scan on as many
+    tasks. Large inputs have more files than cores and pass without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write `df` as a Parquet table in the shared folder and read it back.
 

@@ -113,15 +113,16 @@ def start_console(
 def start_result_table(
     rows: DataFrame, path: str, checkpoint: str, trigger: dict, state_partitions: int | None = None
 ) -> StreamingQuery:
-    """Keep the whole result of an aggregate as a table, one folder per micro-batch.
+    """Keep the whole result of an aggregate as a table in two alternating slots.
 
-    The executors write it, nothing passes the driver. A micro-batch that is repeated after
-    a failure overwrites its own folder. State is spread over `state_partitions`, a number
-    the checkpoint keeps for good.
+    The executors write it, nothing passes the driver. While one slot is rewritten the other
+    holds the result before; a micro-batch repeated after a failure rewrites its own slot.
+    State is spread over `state_partitions`, a number the checkpoint keeps for good.
     """
 
     def store(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        stamped = result.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stamped.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     with state_partition_number(rows.sparkSession, state_partitions):
         return (
@@ -136,8 +137,8 @@ def start_result_table(
 def latest_result(spark: SparkSession, path: str) -> DataFrame:
     """The table the newest micro-batch left."""
     results = spark.read.parquet(path)
-    newest = results.agg(F.max("batch_id")).first()[0]
-    return spark.read.parquet(f"{path}/batch_id={newest}")
+    newest = results.agg(F.max("batch_id")).scalar()
+    return results.where(F.col("batch_id") == newest).drop("batch_id", "slot")
 
 
 @contextmanager

@@ -17,7 +17,7 @@ from opinlake.operators import cleaning, dedup, events, quality
 from opinlake.operators import reports as rp
 from opinlake.plans import batch_ingest, snapshot
 from opinlake.plans import dashboard as db
-from opinlake.session import materialize, scratch_path, use_utc
+from opinlake.session import materialize, scratch_path, spread, use_utc
 from opinlake.sources import catalog as catalog_source
 from opinlake.sources import events as event_source
 from opinlake.sources import history_csv, silver
@@ -40,42 +40,68 @@ def query(function: Query) -> Query:
     return run
 
 
-# --- the lake the reports read ------------------------------------------------------
+# --- written once per application and data folder -----------------------------------
 
-_lakes: dict[tuple[str, str], LakeLayout] = {}
+_written: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]):
+    """The result of `write`, which gets a fresh path in the shared folder on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        _written[key] = write(scratch_path(spark, name))
+    return _written[key]
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw historical rows as a landing table."""
+
+    def write(path: str) -> str:
+        spread(tb.history_rows(spark, sf_dir)).write.parquet(path)
+        return path
+
+    path = _once(spark, sf_dir, "history", write)
+    return spark.read.schema(schemas.HISTORY_CSV).parquet(path)
+
+
+def history_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The same rows as CSV files."""
+
+    def write(path: str) -> str:
+        tb.write_history_csv(history(spark, sf_dir), path)
+        return path
+
+    return _once(spark, sf_dir, "history_csv", write)
+
+
+def sample_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The rows that pass cleaning as CSV files: a trusted sample."""
+
+    def write(path: str) -> str:
+        tb.write_history_csv(cleaning.clean_history(history(spark, sf_dir)), path)
+        return path
+
+    return _once(spark, sf_dir, "sample_csv", write)
 
 
 def lake(spark: SparkSession, sf_dir: str) -> LakeLayout:
-    """Both silver lanes of this data, written once per application as tables in the shared
-    folder: reports read silver, they do not enrich it again."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
-        layout = LakeLayout(scratch_path(spark, "lake"))
-        batch_ingest.ingest_history(tb.history_rows(spark, sf_dir), layout)
+    """Both silver lanes: reports read silver, they do not enrich it again."""
+
+    def write(path: str) -> LakeLayout:
+        layout = LakeLayout(path)
+        batch_ingest.ingest_history(history(spark, sf_dir), layout)
         jobs.finish(
             jobs.start_silver(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW)
         )
-        _lakes[key] = layout
-    return _lakes[key]
+        return layout
+
+    return _once(spark, sf_dir, "lake", write)
 
 
 def lake_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.read_silver(spark, lake(spark, sf_dir))
 
 
-_csv_folders: dict[tuple[str, str], str] = {}
-
-
-def history_csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The historical rows as CSV files, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _csv_folders:
-        path = scratch_path(spark, "history_csv")
-        tb.write_history_csv(tb.history_rows(spark, sf_dir), path)
-        _csv_folders[key] = path
-    return _csv_folders[key]
-
-
 # --- sources ------------------------------------------------------------------------
 
 
@@ -86,13 +112,7 @@ def csv_scan(spark, sf_dir):
 
 @query
 def sample_scan(spark, sf_dir):
-    return history_csv.read_sample_csv(spark, _clean_csv_folder(spark, sf_dir))
-
-
-def _clean_csv_folder(spark, sf_dir) -> str:
-    path = scratch_path(spark, "sample_csv")
-    tb.write_history_csv(cleaning.clean_history(tb.history_rows(spark, sf_dir)), path)
-    return path
+    return history_csv.read_sample_csv(spark, sample_csv_folder(spark, sf_dir))
 
 
 @query
@@ -133,7 +153,7 @@ def silver_preview(spark, sf_dir):
 @query
 def silver_union(spark, sf_dir):
     """Both lanes without files in between."""
-    batch = cleaning.history_to_silver(cleaning.clean_history(tb.history_rows(spark, sf_dir)))
+    batch = cleaning.history_to_silver(cleaning.clean_history(history(spark, sf_dir)))
     stream = events.events_to_silver(tb.record_batch(spark, sf_dir))
     return silver.union_lanes(batch, stream)
 
@@ -143,27 +163,27 @@ def silver_union(spark, sf_dir):
 
 @query
 def clean_required(spark, sf_dir):
-    return cleaning.keep_required(tb.history_rows(spark, sf_dir))
+    return cleaning.keep_required(history(spark, sf_dir))
 
 
 @query
 def clean_nonblank(spark, sf_dir):
-    return cleaning.keep_nonblank(tb.history_rows(spark, sf_dir))
+    return cleaning.keep_nonblank(history(spark, sf_dir))
 
 
 @query
 def clean_ranges(spark, sf_dir):
-    return cleaning.keep_in_range(tb.history_rows(spark, sf_dir))
+    return cleaning.keep_in_range(history(spark, sf_dir))
 
 
 @query
 def clean_reviews(spark, sf_dir):
-    return cleaning.clean_history(tb.history_rows(spark, sf_dir))
+    return cleaning.clean_history(history(spark, sf_dir))
 
 
 @query
 def normalize_reviews(spark, sf_dir):
-    return cleaning.history_to_silver(cleaning.clean_history(tb.history_rows(spark, sf_dir)))
+    return cleaning.history_to_silver(cleaning.clean_history(history(spark, sf_dir)))
 
 
 @query
@@ -187,14 +207,14 @@ def ingest_audit(spark, sf_dir):
 @query
 def bronze_json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "bronze_json")
-    cleaning.clean_history(tb.history_rows(spark, sf_dir)).write.mode("append").json(path)
+    cleaning.clean_history(history(spark, sf_dir)).write.mode("append").json(path)
     return spark.read.schema(schemas.HISTORY_CSV).json(path)
 
 
 @query
 def batch_dedup(spark, sf_dir):
     """The batch lane loaded twice holds every review twice; one of each is left."""
-    batch = cleaning.history_to_silver(cleaning.clean_history(tb.history_rows(spark, sf_dir)))
+    batch = cleaning.history_to_silver(cleaning.clean_history(history(spark, sf_dir)))
     twice = batch.select("review_id", "source").unionAll(batch.select("review_id", "source"))
     return dedup.drop_repeats(twice)
 
@@ -494,7 +514,7 @@ def analytics_bundle(spark, sf_dir):
 @query
 def sample_dashboard(spark, sf_dir):
     sample = materialize(
-        history_csv.read_sample_csv(spark, _clean_csv_folder(spark, sf_dir)), "sample"
+        history_csv.read_sample_csv(spark, sample_csv_folder(spark, sf_dir)), "sample"
     )
     return one_relation(db.sample_dashboard(sample, tb.catalog(spark, sf_dir)))
 
