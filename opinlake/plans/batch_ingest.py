@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinlake.layout import LakeLayout, history_csv_path
 from opinlake.operators.cleaning import clean_history, history_to_silver
-from opinlake.session import build_session, spread, use_utc
+from opinlake.session import lake_session, spread
 from opinlake.sources.history_csv import read_history_csv
 
 
@@ -40,16 +40,13 @@ def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
     raw = spread(raw)
     cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
     silver = observed(history_to_silver(cleaned), "written")
-    silver.write.mode("append").parquet(layout.silver_batch)
     clean_history(raw).write.mode("append").json(layout.bronze_batch)
+    silver.write.mode("append").parquet(layout.silver_batch)
     return IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
 
 
 def main() -> None:
-    layout = LakeLayout.from_env()
-    fs = {"spark.hadoop.fs.defaultFS": layout.default_fs} if layout.default_fs else {}
-    spark = build_session("opinlake-history", settings=fs)
-    use_utc(spark)
+    spark, layout = lake_session("opinlake-history")
     path = history_csv_path()
     audit = ingest_history(read_history_csv(spark, path), layout)
     print(f"{path}: {audit}")

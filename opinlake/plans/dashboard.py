@@ -38,46 +38,36 @@ _LEVELS = {
 def report_cube(silver: DataFrame) -> DataFrame:
     """Every aggregate of the dashboard from one scan of narrow columns.
 
-    Rows are first combined per product, score and source: that is where the volume goes
-    down, and it happens on the map side. Only the combined rows are then expanded to the
-    five grouping levels. All measures are additive, so levels add up exactly.
+    Each row counts on five grouping levels. They are combined on the map side, so what is
+    shuffled is one row per task for each product and next to nothing for the other levels.
+    (Combining per product, score and source first, to expand fewer rows, was slower: it
+    shuffles a row per combination.)
     """
-    source = F.coalesce("source", F.lit(rp.UNKNOWN_SOURCE))
-    grain = (
-        rp.counted(silver)
-        .groupBy("product_id", "sentiment", "score", source.alias("source"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("created_at").alias("first_at"),
-            F.max("created_at").alias("last_at"),
-            *(
-                F.count_if(F.col(f"has_{kind}_keywords") & has_opinion()).alias(f"{kind}_kw")
-                for kind in ("negative", "positive")
-            ),
-        )
-    )
     # Grouping columns read as NULL on the other levels, so the measures use copies of them.
-    score = F.col("score")
-    grain = grain.withColumns(
+    rows = rp.counted(silver).withColumns(
         {
-            "points": score * F.col("n"),
-            "scored": F.when(score.isNotNull(), F.col("n")),
-            "negatives": F.when(F.col("sentiment") == "negative", F.col("n")).otherwise(0),
+            "source": F.coalesce("source", F.lit(rp.UNKNOWN_SOURCE)),
+            "points": F.col("score"),
+            "tone": F.col("sentiment"),
         }
     )
     level = F.lit("all")
     for name, column in _LEVELS.items():
         level = F.when(F.grouping(column) == 0, F.lit(name)).otherwise(level)
     columns = list(_LEVELS.values())
-    return grain.groupingSets([[], *([column] for column in columns)], *columns).agg(
+    return rows.groupingSets([[], *([column] for column in columns)], *columns).agg(
         level.alias("level"),
-        F.sum("n").alias("review_count"),
-        (F.sum("points") / F.sum("scored")).alias("average_score"),
-        F.sum("negatives").alias("negative_review_count"),
-        F.min("first_at").alias("first_review_at"),
-        F.max("last_at").alias("last_review_at"),
-        F.sum("negative_kw").alias("negative_keyword_reviews"),
-        F.sum("positive_kw").alias("positive_keyword_reviews"),
+        F.count(F.lit(1)).alias("review_count"),
+        F.avg("points").alias("average_score"),
+        F.count_if(F.col("tone") == "negative").alias("negative_review_count"),
+        F.min("created_at").alias("first_review_at"),
+        F.max("created_at").alias("last_review_at"),
+        *(
+            F.count_if(F.col(f"has_{kind}_keywords") & has_opinion()).alias(
+                f"{kind}_keyword_reviews"
+            )
+            for kind in ("negative", "positive")
+        ),
     )
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 from opinlake.layout import LakeLayout
 from opinlake.plans.dashboard import DASHBOARD_REPORTS, dashboard, report_cube
 
+T = TypeVar("T")
+
 MANIFEST = "snapshot_id string, generated_at timestamp"
 
 # What a reader is told about the snapshot it gets.
@@ -51,8 +56,8 @@ def _snapshot_path(layout: LakeLayout, snapshot_id: str) -> str:
 
 def publish_snapshot(
     spark: SparkSession, layout: LakeLayout, silver: DataFrame, catalog: DataFrame | None = None
-) -> str:
-    """Compute, check and publish a snapshot; returns its id.
+) -> dict:
+    """Compute, check and publish a snapshot; returns its envelope.
 
     Every snapshot has a folder of its own and readers find it through the manifest, whose
     row is written last: a job that dies half way leaves no visible snapshot, and readers
@@ -68,51 +73,46 @@ def publish_snapshot(
     shared.write.parquet(f"{folder}/recent_reviews")
     relations["opinions"] = spark.read.schema(shared.schema).parquet(f"{folder}/recent_reviews")
     del relations["recent_reviews"]
-    # Small jobs that spend their time waiting: let them overlap.
-    with ThreadPoolExecutor(max_workers=len(relations)) as pool:
-        for done in [
-            pool.submit(rows.write.parquet, f"{folder}/{name}") for name, rows in relations.items()
-        ]:
-            done.result()
+    _overlapping(lambda name: relations[name].write.parquet(f"{folder}/{name}"), relations)
     problems = [
         row.report
         for row in completeness(spark, layout, snapshot_id).where(~F.col("complete")).collect()
     ]
     if problems:
         raise IncompleteSnapshot(f"incomplete relations: {', '.join(sorted(problems))}")
-    (
-        spark.range(1)
-        .select(F.lit(snapshot_id).alias("snapshot_id"), F.current_timestamp().alias("generated_at"))
-        .write.mode("append")
-        .parquet(_manifest_path(layout))
-    )
-    return snapshot_id
+    generated_at = datetime.now(timezone.utc)
+    entry = spark.createDataFrame([(snapshot_id, generated_at)], MANIFEST)
+    entry.coalesce(1).write.mode("append").parquet(_manifest_path(layout))
+    return {
+        "snapshot_id": snapshot_id,
+        "generated_at": generated_at,
+        "status": FRESH,
+        "stale": False,
+    }
 
 
 def completeness(spark: SparkSession, layout: LakeLayout, snapshot_id: str) -> DataFrame:
-    """One row per relation: is it there, has it its columns, how many rows.
-
-    The relations are gold tables of at most a few hundred rows, counted in one job.
-    """
+    """One row per relation: is it there, has it its columns, how many rows."""
     folder = _snapshot_path(layout, snapshot_id)
-    checks = None
-    for name in DASHBOARD_REPORTS:
+
+    def check(name: str) -> tuple[str, bool, int]:
         try:
             relation = spark.read.parquet(f"{folder}/{name}")
         except AnalysisException:
-            relation = None
-        if relation is None:
-            rows = spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
-            shaped = F.lit(False)
-        else:
-            rows = relation.agg(F.count(F.lit(1)).alias("rows"))
-            has_columns = REQUIRED_COLUMNS[name] <= set(relation.columns)
-            shaped = F.lit(has_columns)
-            if name in ONE_ROW:
-                shaped = shaped & (F.col("rows") == 1)
-        check = rows.select(F.lit(name).alias("report"), shaped.alias("complete"), "rows")
-        checks = check if checks is None else checks.unionAll(check)
-    return checks
+            return name, False, 0
+        rows = relation.count()
+        shaped = REQUIRED_COLUMNS[name] <= set(relation.columns)
+        return name, shaped and (rows == 1 or name not in ONE_ROW), rows
+
+    checks = _overlapping(check, DASHBOARD_REPORTS)
+    return spark.createDataFrame(checks, "report string, complete boolean, rows bigint")
+
+
+def _overlapping(job: Callable[[str], T], names: Iterable[str]) -> list[T]:
+    """Run small jobs at the same time: on a cluster they mostly wait."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return list(pool.map(job, names))
 
 
 def latest_snapshot(spark: SparkSession, layout: LakeLayout) -> DataFrame | None:
@@ -133,4 +133,7 @@ def latest_snapshot(spark: SparkSession, layout: LakeLayout) -> DataFrame | None
 
 def read_snapshot(spark: SparkSession, layout: LakeLayout, snapshot_id: str) -> dict[str, DataFrame]:
     folder = _snapshot_path(layout, snapshot_id)
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in DASHBOARD_REPORTS}
+    relations = _overlapping(
+        lambda name: spark.read.parquet(f"{folder}/{name}"), DASHBOARD_REPORTS
+    )
+    return dict(zip(DASHBOARD_REPORTS, relations, strict=True))

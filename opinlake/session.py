@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinlake.layout import LakeLayout
+
 # Settings for a large cluster. Reduce-side sizes are left to adaptive execution: it
 # starts from many partitions and merges them to the advisory size.
 CLUSTER_SETTINGS = {
@@ -38,6 +40,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def lake_session(app_name: str) -> tuple[SparkSession, LakeLayout]:
+    """The session and layout of a job, both set up from the environment."""
+    layout = LakeLayout.from_env()
+    fs = {"spark.hadoop.fs.defaultFS": layout.default_fs} if layout.default_fs else {}
+    return build_session(app_name, settings=fs), layout
+
+
 def use_utc(spark: SparkSession) -> None:
     """Reviews carry UTC instants; text forms and test tables rely on this zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -68,14 +77,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/opinlake/{uuid.uuid4().hex}/{name}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share when the input has fewer files than there are cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share when a scan has fewer tasks than there are cores.
 
     Files that cannot be split would otherwise keep the work behind the scan on as many
-    tasks. Large inputs have more files than cores and pass without a shuffle.
+    tasks. A large input has more scan tasks than cores and passes without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

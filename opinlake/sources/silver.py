@@ -49,31 +49,40 @@ def create_external_tables(
 ) -> str:
     """One external table per lane and a view over both; returns the name of the view.
 
-    Dropping and creating again changes only the catalog, never the files.
+    Dropping and creating again changes only the catalog, never the files. A lane not yet
+    written is an empty table. Spark remembers the files of a table: after further loads
+    refresh it (`REFRESH TABLE`) or create it again.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{layout.base}/{database}.db'")
     columns = schemas.SILVER.toDDL()
-    tables = {}
+    tables = []
     for lane, path in (("batch", layout.silver_batch), ("stream", layout.silver_stream)):
-        if _lane(spark, path) is None:
-            continue
         table = f"{database}.{view}_{lane}"
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET LOCATION '{path}'")
-        tables[lane] = table
+        tables.append(table)
     names = ", ".join(f"`{name}`" for name in schemas.SILVER.fieldNames())
-    union = " UNION ALL ".join(f"SELECT {names} FROM {table}" for table in tables.values())
+    union = " UNION ALL ".join(f"SELECT {names} FROM {table}" for table in tables)
     name = f"{database}.{view}"
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {union}")
     return name
 
 
-def fetch_one(rows: DataFrame) -> dict:
+def fetch_one(report: DataFrame) -> dict:
     """The first row of a report as a dict, or an empty one."""
-    row = rows.limit(1).first()
+    row = report.limit(1).first()
     return row.asDict() if row else {}
 
 
+def fetch_report(report: DataFrame, limit: int = 100) -> list[dict]:
+    """The rows of a top-k report as dicts. More than `limit` rows are an error, not cut off:
+    relations without a bound belong in a table, not on the driver."""
+    rows = report.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"the report has more than {limit} rows; write it to a table")
+    return [row.asDict() for row in rows]
+
+
 def table_peek(spark: SparkSession, table: str) -> DataFrame:
     """Column names and types of a table together with its row count."""
     rows = spark.table(table)

@@ -17,7 +17,7 @@ from opinlake import schemas
 from opinlake.functions.review import sentiment_of
 from opinlake.layout import LakeLayout, StreamSettings
 from opinlake.operators.events import decode, events_to_silver, open_envelope
-from opinlake.session import build_session, use_utc
+from opinlake.session import lake_session
 from opinlake.sources.events import kafka_stream
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -172,17 +172,10 @@ def run_until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:
             query.stop()
 
 
-def _live_session(name: str) -> tuple[SparkSession, LakeLayout, StreamSettings]:
-    layout = LakeLayout.from_env()
-    fs = {"spark.hadoop.fs.defaultFS": layout.default_fs} if layout.default_fs else {}
-    spark = build_session(name, settings=fs)
-    use_utc(spark)
-    return spark, layout, StreamSettings.from_env()
-
-
 def run_lake_writer() -> None:
     """Bronze and silver from the topic, as two independent queries."""
-    spark, layout, settings = _live_session("opinlake-lake-writer")
+    spark, layout = lake_session("opinlake-lake-writer")
+    settings = StreamSettings.from_env()
     records = kafka_stream(spark, settings)
     run_until_any_ends(
         spark,
@@ -193,15 +186,15 @@ def run_lake_writer() -> None:
 
 def run_console_reviews() -> None:
     """Show decoded reviews as they arrive."""
-    spark, _, settings = _live_session("opinlake-console")
-    reviews = decode(open_envelope(kafka_stream(spark, settings)))
+    spark, _ = lake_session("opinlake-console")
+    reviews = decode(open_envelope(kafka_stream(spark, StreamSettings.from_env())))
     run_until_any_ends(spark, start_console(reviews, "live_reviews"))
 
 
 def run_console_reports() -> None:
     """Show the two live aggregates."""
-    spark, _, settings = _live_session("opinlake-console-reports")
-    records = kafka_stream(spark, settings)
+    spark, _ = lake_session("opinlake-console-reports")
+    records = kafka_stream(spark, StreamSettings.from_env())
     run_until_any_ends(
         spark,
         start_console(sentiment_counts(records), "reviews_by_sentiment", "complete"),

@@ -522,7 +522,8 @@ def sample_dashboard(spark, sf_dir):
 def _published(spark, sf_dir) -> tuple[LakeLayout, str]:
     gold = LakeLayout(scratch_path(spark, "gold_lake"))
     rows = lake_silver(spark, sf_dir)
-    return gold, snapshot.publish_snapshot(spark, gold, rows, tb.catalog(spark, sf_dir))
+    envelope = snapshot.publish_snapshot(spark, gold, rows, tb.catalog(spark, sf_dir))
+    return gold, envelope["snapshot_id"]
 
 
 @query

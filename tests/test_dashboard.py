@@ -106,8 +106,11 @@ def test_small_bundle(silver, catalog):
 def test_snapshots_are_published_whole(spark, silver, catalog, tmp_path):
     layout = LakeLayout(str(tmp_path / "lake"))
     assert snapshot.latest_snapshot(spark, layout) is None
-    first = snapshot.publish_snapshot(spark, layout, silver, catalog)
-    second = snapshot.publish_snapshot(spark, layout, silver.where("score = 5"), catalog)
+    published = snapshot.publish_snapshot(spark, layout, silver, catalog)
+    assert (published["status"], published["stale"]) == ("fresh", False)
+    first = published["snapshot_id"]
+    better = silver.where("score = 5")
+    second = snapshot.publish_snapshot(spark, layout, better, catalog)["snapshot_id"]
     envelope = fetch_one(snapshot.latest_snapshot(spark, layout))
     assert envelope["snapshot_id"] == second != first
     assert (envelope["status"], envelope["stale"]) == ("cached", True)
@@ -118,7 +121,7 @@ def test_snapshots_are_published_whole(spark, silver, catalog, tmp_path):
 
 def test_a_failed_snapshot_leaves_the_one_before(spark, silver, tmp_path, monkeypatch):
     layout = LakeLayout(str(tmp_path / "lake"))
-    good = snapshot.publish_snapshot(spark, layout, silver)
+    good = snapshot.publish_snapshot(spark, layout, silver)["snapshot_id"]
     whole = snapshot.dashboard
 
     def without_sources(*arguments):

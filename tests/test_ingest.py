@@ -12,6 +12,7 @@ from opinlake.sources.history_csv import read_history_csv, read_sample_csv
 from opinlake.sources.silver import (
     create_external_tables,
     fetch_one,
+    fetch_report,
     first_rows,
     list_tables,
     read_silver,
@@ -129,6 +130,7 @@ def test_external_tables(spark, sample_csv, tmp_path):
     view = create_external_tables(spark, layout, "shop_test")
     assert create_external_tables(spark, layout, "shop_test") == view
     assert spark.table(view).count() == 16
+    assert spark.table("shop_test.reviews_enriched_stream").count() == 0
     assert spark.table(view).columns == schemas.SILVER.fieldNames()
     assert "reviews_enriched_batch" in list_tables(spark, "shop_test")
     peek = table_peek(spark, view).collect()
@@ -140,3 +142,6 @@ def test_external_tables(spark, sample_csv, tmp_path):
     assert fetch_one(total) == {"n": 16, "a": 3.5625}
     assert fetch_one(total.where("n < 0")) == {}
     assert silver_preview(spark.table(view), 3).count() == 3
+    assert len(fetch_report(spark.table(view), 16)) == 16
+    with pytest.raises(ValueError):
+        fetch_report(spark.table(view), 15)

@@ -89,10 +89,10 @@ def test_materialized_frames_read_from_files(spark):
     assert frame.inputFiles()
 
 
-def test_few_files_are_spread_and_many_are_not(spark, tmp_path):
+def test_few_scan_tasks_are_spread_and_many_are_not(spark, tmp_path):
     one, many = str(tmp_path / "one"), str(tmp_path / "many")
     spark.range(100).coalesce(1).write.parquet(one)
-    spark.range(100).repartition(9).write.parquet(many)
+    spark.range(100).repartition(40).write.parquet(many)
     spread = session.spread(spark.read.parquet(one))
     assert "Exchange" in spread._jdf.queryExecution().executedPlan().toString()
     untouched = spark.read.parquet(many)
