@@ -40,7 +40,7 @@ def enrich_with_catalog(
     reviews: DataFrame, catalog: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
     """Add `product_name` to every review. The large side is not moved while the names fit
-    the broadcast limit."""
+    the broadcast limit. The catalog must list a product once (`quality.repeated_products`)."""
     return _left_lookup(reviews, sized_for_broadcast(_names(catalog), limit_bytes))
 
 

@@ -77,6 +77,13 @@ def check_products(products: DataFrame) -> DataFrame:
     )
 
 
+def repeated_products(products: DataFrame) -> DataFrame:
+    """Ids that stand in a catalog more than once. A catalog used for lookups must have none:
+    each entry of an id would repeat the reviews of its product."""
+    listed = products.groupBy("product_id").agg(F.count(F.lit(1)).alias("entries"))
+    return listed.where(F.col("entries") > 1)
+
+
 def accepted(checked: DataFrame) -> DataFrame:
     return checked.where(F.col(REASON).isNull()).drop(REASON)
 

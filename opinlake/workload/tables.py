@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opinlake import schemas
 from opinlake.operators.events import encode
+from opinlake.session import spread
 
 _DIALECTS = {
     "spark": {"ship_seconds": "unix_seconds(CAST(l_shipdate AS TIMESTAMP))"},
@@ -187,7 +188,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         SUBMISSIONS,
         events=table(spark, sf_dir, "events"),
-        documents=table(spark, sf_dir, "documents"),
+        documents=spread(table(spark, sf_dir, "documents")),
     )
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -197,7 +198,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         TEXTS,
         events=table(spark, sf_dir, "events"),
-        documents=table(spark, sf_dir, "documents"),
+        documents=spread(table(spark, sf_dir, "documents").select("doc_id", "text")),
     )
 
 
@@ -235,7 +236,7 @@ def kafka_records(events: DataFrame) -> DataFrame:
 
 
 def record_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kafka_records(table(spark, sf_dir, "events"))
+    return kafka_records(spread(table(spark, sf_dir, "events")))
 
 
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,11 @@ def test_product_rules(spark, change, reason):
     assert quality.check_products(frame).first().rejection == reason
 
 
+def test_repeated_products_are_found(spark):
+    twice = spark.createDataFrame([*PRODUCTS, PRODUCTS[1]], schemas.CATALOG)
+    assert [tuple(r) for r in quality.repeated_products(twice).collect()] == [("P002", 2)]
+
+
 def test_blank_tags_are_dropped(spark):
     row = (*PRODUCTS[0][:6], [" a ", "", "\t", "b"])
     checked = quality.check_products(spark.createDataFrame([row], schemas.CATALOG))
