@@ -32,7 +32,7 @@ SMALLEST_BAR = 6
 def _check_range(name: str, value: int, bounds: tuple[int, int]) -> int:
     low, high = bounds
     if value < low or value > high:
-        raise ValueError(f"{name} must be between {low} and {high}")
+        raise ValueError(f"{name} is {value}, allowed are {low} to {high}")
     return value
 
 
@@ -46,7 +46,7 @@ def check_min_reviews(value: int) -> int:
 
 def check_sentiment(value: str | None) -> str | None:
     if value is not None and value not in SENTIMENTS:
-        raise ValueError("sentiment must be positive, neutral, or negative")
+        raise ValueError(f"no such sentiment: {value}")
     return value
 
 

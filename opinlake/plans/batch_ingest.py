@@ -33,14 +33,13 @@ def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
     the end of a file. The order is local to a task and moves nothing.
 
     The three counts are observed while silver is written, so auditing reads nothing twice:
-    the input is scanned once per sink. A lost executor costs its tasks, and files appear when a job commits. Only an input of few files is shuffled.
+    the input is scanned once per sink. A lost executor costs its tasks, and files appear when a job commits. Nothing is shuffled.
     """
     counts = {name: Observation(name) for name in ("raw", "cleaned", "written")}
 
     def observed(rows: DataFrame, name: str) -> DataFrame:
         return rows.observe(counts[name], F.count(F.lit(1)).alias("rows"))
 
-    raw = spread(raw)
     cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
     silver = observed(history_to_silver(cleaned), "written")
     clean_history(raw).write.mode("append").json(layout.bronze_batch)
@@ -52,7 +51,7 @@ def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
 def main() -> None:
     spark, layout = lake_session("opinlake-history")
     path = history_csv_path()
-    audit = ingest_history(read_history_csv(spark, path), layout)
+    audit = ingest_history(spread(read_history_csv(spark, path)), layout)
     print(f"{path}: {audit}")
     spark.stop()
 

@@ -81,7 +81,8 @@ def spread(scan: DataFrame) -> DataFrame:
     """Give every core a share when a scan has fewer tasks than there are cores.
 
     Files that cannot be split would otherwise keep the work behind the scan on as many
-    tasks. A large input has more scan tasks than cores and passes without a shuffle.
+    tasks. A large input has more scan tasks than cores and passes without a shuffle. Meant
+    for plain scans: counting the tasks of a frame with shuffles would run them.
     """
     spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism

@@ -97,17 +97,22 @@ def start_silver(
 
 
 def start_console(
-    rows: DataFrame, name: str, mode: str = "append", shown: int = 20
+    rows: DataFrame,
+    name: str,
+    mode: str = "append",
+    shown: int = 20,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Show each micro-batch (append) or the whole result so far (complete)."""
-    return (
-        rows.writeStream.queryName(name)
-        .format("console")
-        .outputMode(mode)
-        .option("truncate", False)
-        .option("numRows", shown)
-        .start()
-    )
+    with state_partition_number(rows.sparkSession, state_partitions):
+        return (
+            rows.writeStream.queryName(name)
+            .format("console")
+            .outputMode(mode)
+            .option("truncate", False)
+            .option("numRows", shown)
+            .start()
+        )
 
 
 def start_result_table(
@@ -195,8 +200,15 @@ def run_console_reports() -> None:
     """Show the two live aggregates."""
     spark, _ = lake_session("opinlake-console-reports")
     records = kafka_stream(spark, StreamSettings.from_env())
+    # Streaming shuffles are not merged at run time: one partition per core is plenty here.
+    cores = spark.sparkContext.defaultParallelism
     run_until_any_ends(
         spark,
-        start_console(sentiment_counts(records), "reviews_by_sentiment", "complete"),
-        start_console(product_scores(records), "product_score_summary", "complete"),
+        *(
+            start_console(rows, name, "complete", state_partitions=cores)
+            for name, rows in (
+                ("reviews_by_sentiment", sentiment_counts(records)),
+                ("product_score_summary", product_scores(records)),
+            )
+        ),
     )

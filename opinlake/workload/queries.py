@@ -89,7 +89,7 @@ def lake(spark: SparkSession, sf_dir: str) -> LakeLayout:
 
     def write(path: str) -> LakeLayout:
         layout = LakeLayout(path)
-        batch_ingest.ingest_history(history(spark, sf_dir), layout)
+        batch_ingest.ingest_history(spread(history(spark, sf_dir)), layout)
         jobs.finish(
             jobs.start_silver(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW)
         )
@@ -189,7 +189,7 @@ def normalize_reviews(spark, sf_dir):
 @query
 def batch_ingest_(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
-    raw = history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
+    raw = spread(history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir)))
     batch_ingest.ingest_history(raw, layout)
     return silver.read_silver(spark, layout, ["batch"])
 
@@ -200,7 +200,7 @@ QUERIES["batch_ingest"] = QUERIES.pop("batch_ingest_")
 @query
 def ingest_audit(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
-    raw = history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
+    raw = spread(history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir)))
     return batch_ingest.ingest_history(raw, layout).to_frame(spark)
 
 
