@@ -21,7 +21,9 @@ def sentiment_of(score: Column) -> Column:
     )
 
 
-def enrich(reviews: DataFrame, count_words: Callable[[Column], Column] = tx.word_count) -> DataFrame:
+def enrich(
+    reviews: DataFrame, count_words: Callable[[Column], Column] = tx.word_count
+) -> DataFrame:
     """Add the five derived columns. Runs once, at write time; reports read the results."""
     text = F.col("text")
     return reviews.withColumns(

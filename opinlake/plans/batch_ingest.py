@@ -33,7 +33,8 @@ def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
     the end of a file. The order is local to a task and moves nothing.
 
     The three counts are observed while silver is written, so auditing reads nothing twice:
-    the input is scanned once per sink. A lost executor costs its tasks, and files appear when a job commits. Nothing is shuffled.
+    the input is scanned once per sink. Nothing is shuffled; a lost executor costs its tasks,
+    and files appear when a job commits.
     """
     counts = {name: Observation(name) for name in ("raw", "cleaned", "written")}
 

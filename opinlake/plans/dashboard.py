@@ -124,7 +124,9 @@ def dashboard(
     }
 
 
-def dashboard_by_report(silver: DataFrame, catalog: DataFrame | None = None) -> dict[str, DataFrame]:
+def dashboard_by_report(
+    silver: DataFrame, catalog: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """The same relations, each straight from silver: eleven scans, no table between."""
     top, least = DASHBOARD_TOP, DASHBOARD_MIN_REVIEWS
     newest = rp.dashboard_opinions(silver, DASHBOARD_RECENT, catalog)

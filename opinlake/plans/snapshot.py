@@ -131,7 +131,9 @@ def latest_snapshot(spark: SparkSession, layout: LakeLayout) -> DataFrame | None
     )
 
 
-def read_snapshot(spark: SparkSession, layout: LakeLayout, snapshot_id: str) -> dict[str, DataFrame]:
+def read_snapshot(
+    spark: SparkSession, layout: LakeLayout, snapshot_id: str
+) -> dict[str, DataFrame]:
     folder = _snapshot_path(layout, snapshot_id)
     relations = _overlapping(
         lambda name: spark.read.parquet(f"{folder}/{name}"), DASHBOARD_REPORTS

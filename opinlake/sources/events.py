@@ -39,7 +39,9 @@ def kafka_batch(spark: SparkSession, settings: StreamSettings) -> DataFrame:
     )
 
 
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def replay_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
     """Kafka-shaped Parquet files as a stream, for tests and backfills."""
     reader = spark.readStream.schema(schemas.KAFKA_RECORD)
     if files_per_trigger:

@@ -88,8 +88,11 @@ def table_peek(spark: SparkSession, table: str) -> DataFrame:
     rows = spark.table(table)
     columns = F.array(
         *(
-            F.struct(F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("data_type"))
-            for f in rows.schema.fields
+            F.struct(
+                F.lit(field.name).alias("col_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"),
+            )
+            for field in rows.schema.fields
         )
     )
     return (

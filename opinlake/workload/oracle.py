@@ -509,7 +509,7 @@ ORACLE: dict[str, str] = {
         "SELECT id, coalesce(user_id, 'web-client') AS user_id, coalesce(source, 'web') AS source,"
         " substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||"
         " substr(h, 17, 4) || '-' || substr(h, 21, 12) AS review_id, ts AS created_at"
-        " FROM (SELECT *, md5(id) AS h FROM submissions)",
+        " FROM (SELECT *, md5('{\"c0\":\"' || id || '\"}') AS h FROM submissions)",
     ),
     "enrich_reviews": _STREAM_SILVER,
     # text and rules

@@ -86,7 +86,8 @@ def test_encoding_matches_a_json_encoder(spark):
 
 
 def test_defaults(spark):
-    rows = spark.createDataFrame([("a", None, None), ("b", "U", "app")], "id string, user_id string, source string")
+    values = [("a", None, None), ("b", "U", "app")]
+    rows = spark.createDataFrame(values, "id string, user_id string, source string")
     filled = {row.id: row for row in events.with_defaults(rows).collect()}
     assert (filled["a"].user_id, filled["a"].source) == ("web-client", "web")
     assert (filled["b"].user_id, filled["b"].source) == ("U", "app")
@@ -100,6 +101,10 @@ def test_stable_ids_repeat_and_look_like_uuids(spark):
     again = [r.v for r in rows.select(events.stable_id(F.col("id")).alias("v")).collect()]
     assert ids == again
     assert len({uuid.UUID(value) for value in ids}) == 2
+    values = [("a", "bc"), ("ab", "c"), (None, "x"), ("x", None)]
+    pairs = spark.createDataFrame(values, "a string, b string")
+    pair_ids = pairs.select(events.stable_id(F.col("a"), F.col("b")).alias("v"))
+    assert pair_ids.distinct().count() == 4
 
 
 def test_the_filter_of_the_quarantine_does_not_parse_twice(spark):

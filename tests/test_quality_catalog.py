@@ -175,7 +175,8 @@ def test_case_variants_stay_two_rows_with_one_name(spark, products, make_silver)
 
 
 def test_measured_size_counts_all_columns(spark):
-    frame = spark.range(10).select(F.lit("x" * 100).alias("a"), F.lit(None).cast("string").alias("b"))
+    wide, empty = F.lit("x" * 100).alias("a"), F.lit(None).cast("string").alias("b")
+    frame = spark.range(10).select(wide, empty)
     hinted = ct.sized_for_broadcast(frame, 10 * (100 + 32))
     assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     assert ct.sized_for_broadcast(frame, 10 * (100 + 32) - 1) is frame

@@ -138,7 +138,8 @@ def test_test_products_and_missing_products(make_silver):
 
 
 def test_bars(spark):
-    counts = spark.createDataFrame([("a", 200), ("b", 25), ("c", 1), ("d", 0)], "l string, review_count bigint")
+    values = [("a", 200), ("b", 25), ("c", 1), ("d", 0)]
+    counts = spark.createDataFrame(values, "l string, review_count bigint")
     bars = {r.l: r.percent for r in rp.scaled(counts).collect()}
     assert bars == {"a": 100, "b": 13, "c": 6, "d": 6}
     zero = spark.createDataFrame([("a", 0)], "l string, review_count bigint")
@@ -249,7 +250,8 @@ def test_reports_read_only_their_columns(spark, silver, tmp_path):
 def test_a_hot_product_is_combined_before_the_shuffle(spark, silver, tmp_path):
     path = str(tmp_path / "silver")
     silver.write.parquet(path)
-    plan = rp.product_stats(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    stats = rp.product_stats(spark.read.parquet(path))
+    plan = stats._jdf.queryExecution().executedPlan().toString()
     shuffle = plan.index("hashpartitioning(product_id")
     assert plan.index("partial_count", shuffle) > shuffle
     assert plan.count("Exchange") == 1
@@ -259,6 +261,7 @@ def test_averages_of_unscored_products_come_last(make_silver):
     silver = make_silver(
         [{"product_id": "P1", "score": None, "text": "x"}, {"product_id": "P2", "score": 1}]
     )
-    assert [r.product_id for r in rp.top_products(silver, min_reviews=1).collect()] == ["P2", "P1"]
-    assert [r.product_id for r in rp.worst_products(silver, min_reviews=1).collect()] == ["P1", "P2"]
+    top, worst = rp.top_products(silver, 10, 1), rp.worst_products(silver, 10, 1)
+    assert [r.product_id for r in top.collect()] == ["P2", "P1"]
+    assert [r.product_id for r in worst.collect()] == ["P1", "P2"]
     assert rp.product_stats(silver).where(F.col("average_score").isNull()).count() == 1

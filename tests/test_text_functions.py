@@ -75,9 +75,8 @@ def test_blank_and_visible_texts(spark):
 
 
 def test_product_label_falls_back(spark):
-    frame = spark.createDataFrame(
-        [("Tea", "P1"), ("", "P2"), (None, "P3"), (None, ""), (None, None)], "name string, id string"
-    )
+    values = [("Tea", "P1"), ("", "P2"), (None, "P3"), (None, ""), (None, None)]
+    frame = spark.createDataFrame(values, "name string, id string")
     labels = frame.select(rv.product_label(F.col("name"), F.col("id")).alias("v")).collect()
     assert [row.v for row in labels] == ["Tea", "P2", "P3", "Unknown product", "Unknown product"]
 
