@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinlake.layout import LakeLayout
 
+LAKE_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
 # Settings for a large cluster. Reduce-side sizes are left to adaptive execution: it
 # starts from many partitions and merges them to the advisory size.
 CLUSTER_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -35,7 +39,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_SETTINGS, **(settings or {})}.items():
+    for key, value in {**LAKE_SETTINGS, **CLUSTER_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -47,9 +51,11 @@ def lake_session(app_name: str) -> tuple[SparkSession, LakeLayout]:
     return build_session(app_name, settings=fs), layout
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Reviews carry UTC instants; text forms and test tables rely on this zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def apply_lake_settings(spark: SparkSession) -> None:
+    """What the data depends on, for a session built elsewhere: instants in UTC, and stored in
+    a form that has minimum and maximum, without which a filter on time skips nothing."""
+    for key, value in LAKE_SETTINGS.items():
+        spark.conf.set(key, value)
 
 
 _local_folders: dict[str, str] = {}

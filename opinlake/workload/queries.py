@@ -17,7 +17,7 @@ from opinlake.operators import cleaning, dedup, events, quality
 from opinlake.operators import reports as rp
 from opinlake.plans import batch_ingest, snapshot
 from opinlake.plans import dashboard as db
-from opinlake.session import materialize, scratch_path, spread, use_utc
+from opinlake.session import apply_lake_settings, materialize, scratch_path, spread
 from opinlake.sources import catalog as catalog_source
 from opinlake.sources import events as event_source
 from opinlake.sources import history_csv, silver
@@ -33,7 +33,7 @@ def query(function: Query) -> Query:
 
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_utc(spark)
+        apply_lake_settings(spark)
         return function(spark, sf_dir.rstrip("/"))
 
     QUERIES[function.__name__] = run

@@ -10,12 +10,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    from opinlake.session import apply_lake_settings
+
     work = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("opinlake-tests")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.ui.enabled", "false")
@@ -23,6 +24,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    apply_lake_settings(session)
     yield session
     session.stop()
 
