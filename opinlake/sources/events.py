@@ -29,12 +29,16 @@ def kafka_stream(spark: SparkSession, settings: StreamSettings) -> DataFrame:
     return reader.load()
 
 
-def kafka_batch(spark: SparkSession, settings: StreamSettings) -> DataFrame:
-    """All messages the topic holds now."""
+def kafka_batch(
+    spark: SparkSession, settings: StreamSettings, ending_offsets: str = "latest"
+) -> DataFrame:
+    """All messages the topic holds now, or those up to offsets given as Kafka's JSON: a look
+    at the first messages of a large topic need not read it to the end."""
     return (
         spark.read.format("kafka")
         .options(**_kafka_options(settings))
         .option("startingOffsets", "earliest")
+        .option("endingOffsets", ending_offsets)
         .load()
     )
 
