@@ -2,17 +2,51 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinlake.llm import bpe, token_files
+from opinlake.llm import bpe, exact_dedup, line_dedup, simhash, token_files
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, for sessions that were started without it on
+    their Python path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="opinlake-ship-")) / "opinlake_package.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -22,8 +56,41 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": r"""
+WITH bare AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+  FROM documents),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY n_chars DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY t) AS group_size
+  FROM bare)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked
+""",
+    "op8_line_dedup": r"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+places AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM texts),
+keyed AS (
+  SELECT doc_id, line, place,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM places),
+shared AS (
+  SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT p.doc_id, p.line, p.place, s.k IS NOT NULL AND p.doc_id <> s.keeper AS lost
+  FROM keyed p LEFT JOIN shared s ON p.k = s.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+}
