@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinlake.llm import bpe, exact_dedup, line_dedup, simhash, token_files
+from opinlake.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash, token_files
 
 
 _shipped: set[str] = set()
@@ -43,6 +43,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(documents, benchmark)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
 }
@@ -74,6 +80,36 @@ ranked AS (
          count(*) OVER (PARTITION BY t) AS group_size
   FROM bare)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked
+""",
+    "op5_decontaminate": r"""
+WITH doc_lists AS (
+  SELECT doc_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM documents)),
+item_lists AS (
+  SELECT item_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM benchmark)),
+windows AS (
+  SELECT DISTINCT item_id, list_aggregate(ws[k:k + 9], 'string_agg', ' ') AS win,
+         least(len(ws), 10) AS size
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS k
+        FROM item_lists WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+spots AS (
+  SELECT doc_id, size, k, list_aggregate(ws[k:k + size - 1], 'string_agg', ' ') AS win
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS k
+        FROM doc_lists, sizes WHERE len(ws) >= size)),
+found AS (SELECT doc_id, k, s.size, item_id FROM spots s JOIN windows w ON s.size = w.size AND s.win = w.win),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS word FROM found) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(l.n_items, 0) AS n_items,
+       sha256(coalesce(l.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_lists d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id
 """,
     "op8_line_dedup": r"""
 WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
