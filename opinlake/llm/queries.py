@@ -9,7 +9,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinlake.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash, token_files
+from opinlake.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+)
 
 
 _shipped: set[str] = set()
@@ -48,6 +57,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents, benchmark)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_rules.score_documents(documents, quality_rules.fit(documents, labels))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.score_documents(documents, toxicity.fit(documents, labels))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -65,8 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quality": op6_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
