@@ -13,6 +13,7 @@ from opinlake.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    license_scan,
     line_dedup,
     quality_rules,
     simhash,
@@ -52,6 +53,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(documents, benchmark)
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op8_line_dedup": op8_line_dedup,
