@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from opinlake.llm import (
@@ -17,6 +18,7 @@ from opinlake.llm import (
     line_dedup,
     quality_rules,
     simhash,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -72,6 +74,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents, toxicity.fit(documents, labels))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -91,9 +102,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
+    "op7_suffix_array": op7_suffix_array,
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
