@@ -7,8 +7,9 @@ one-wildcard variants, so such a pair meets in a bucket, and an equality join pl
 
 Only distinct fingerprints are indexed; copies share theirs and never multiply. A bucket may
 still be large, when many near copies agree in a segment: buckets of more than `BUCKET_LIMIT`
-fingerprints are not joined. Their members are linked exactly by another way without a group that
-grows: each is entered under itself and its 64 one-bit neighbours. Two differ by at most two bits
+fingerprints are not joined, and segment values of more than `CROWD` fingerprints, together with
+the values next to them, not even indexed, so no task sees a bucket of more than twice that. Their
+members are linked exactly by another way without a group that grows: each is entered under itself and its 64 one-bit neighbours. Two differ by at most two bits
 exactly when they share such an entry, an entry has at most 65 members, and hanging these on the
 smallest gives the same components as all their links.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinlake.llm.batches import as_bytes, map_slices
@@ -30,6 +31,7 @@ from opinlake.llm.components import connected_components
 from opinlake.session import materialize
 
 BUCKET_LIMIT = 32
+CROWD = 100_000
 MAX_BITS = 2  # what two segments with one wildcard each can find
 _HASHES_AT_ONCE = 1 << 16
 
@@ -70,17 +72,19 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return map_slices(slim, work, "doc_id long, fp long")
 
 
-def variants(nodes: DataFrame) -> DataFrame:
-    """fp and the 64 keys it is indexed under: a segment with one bit cleared, with the numbers of
-    the segment and of the bit above it. Keys are exact, not hashed."""
-    keyed = nodes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("variant"))
-    return keyed.select(
-        "fp",
-        F.expr(
-            "((shiftrightunsigned(fp, 32 * (variant div 32)) & 4294967295L)"
-            " & ~shiftleft(1L, CAST(variant % 32 AS INT))) | shiftleft(CAST(variant AS BIGINT), 32)"
-        ).alias("key"),
-    )
+def segments(nodes: DataFrame) -> DataFrame:
+    """fp, the number of the segment and its 32 bits."""
+    cut = nodes.select("fp", F.explode(F.array(F.lit(0), F.lit(1))).alias("segment"))
+    value = F.expr("shiftrightunsigned(fp, 32 * segment) & 4294967295L")
+    return cut.select("fp", "segment", value.alias("value"))
+
+
+def variants(cut: DataFrame) -> DataFrame:
+    """fp and the 32 keys a segment is indexed under: its bits with one of them cleared, and above
+    them the numbers of the segment and of that bit. Keys are exact, not hashed."""
+    keyed = cut.select("*", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("bit"))
+    key = "(value & ~shiftleft(1L, bit)) | shiftleft(CAST(32 * segment + bit AS BIGINT), 32)"
+    return keyed.select("fp", F.expr(key).alias("key"))
 
 
 def joined_links(members: DataFrame) -> DataFrame:
@@ -117,16 +121,28 @@ def neighbour_links(nodes: DataFrame) -> DataFrame:
     return hung.where("a != b").distinct()
 
 
-def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT, crowd: int = CROWD) -> DataFrame:
     """Links between distinct fingerprints (column `fp`) of at most two differing bits: all pairs
     from buckets up to the limit, and enough of them for the same components from larger ones."""
-    indexed = variants(nodes)
-    sizes = materialize(
-        indexed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket_sizes"
+    cut = segments(nodes)
+    crowded = materialize(
+        cut.groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > crowd).drop("n"),
+        "crowded_segments",
+    )
+    beside = crowded.select(
+        "segment",
+        F.explode(
+            F.expr("concat(array(value), transform(sequence(0, 31), i -> value ^ shiftleft(1L, i)))")
+        ).alias("value"),
     )
-    small = indexed.join(sizes.where(F.col("n") <= bucket_limit), "key").select("fp", "key")
-    large = indexed.join(sizes.where(F.col("n") > bucket_limit), "key", "left_semi").select("fp").distinct()
-    return joined_links(small).union(neighbour_links(large))
+    value = ["segment", "value"]
+    apart = cut.join(beside.distinct(), value, "left_semi").select("fp")
+    # One shuffle for the index: sizes by a window, and most entries, alone in their bucket, end.
+    indexed = variants(cut.join(crowded, value, "left_anti"))
+    sized = indexed.withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    shared = materialize(sized.where("n > 1"), "shared_buckets")
+    large = shared.where(F.col("n") > bucket_limit).select("fp").union(apart).distinct()
+    return joined_links(shared.where(F.col("n") <= bucket_limit)).union(neighbour_links(large))
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
