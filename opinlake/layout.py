@@ -32,10 +32,12 @@ class LakeLayout:
     """
 
     base: str
+    default_fs_override: str | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> LakeLayout:
-        return cls(env.get("HDFS_BASE_PATH", DEFAULT_BASE).rstrip("/"))
+        base = env.get("HDFS_BASE_PATH", DEFAULT_BASE).rstrip("/")
+        return cls(base, env.get("HDFS_DEFAULT_FS") or None)
 
     @property
     def bronze_stream(self) -> str:
@@ -45,6 +47,10 @@ class LakeLayout:
     def bronze_batch(self) -> str:
         return f"{self.base}/bronze/amazon_reviews_raw"
 
+    @property
+    def bronze_rejected(self) -> str:
+        return f"{self.base}/bronze/reviews_rejected"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver/reviews_enriched"
@@ -66,7 +72,10 @@ class LakeLayout:
 
     @property
     def default_fs(self) -> str | None:
-        """The file system of the base path, for `spark.hadoop.fs.defaultFS`."""
+        """The file system of the base path, for `spark.hadoop.fs.defaultFS`, unless the
+        environment names one."""
+        if self.default_fs_override:
+            return self.default_fs_override
         parts = urlsplit(self.base)
         return f"{parts.scheme}://{parts.netloc}" if parts.scheme and parts.netloc else None
 
@@ -92,6 +101,8 @@ class StreamSettings:
         return cls(
             brokers=env.get("KAFKA_BOOTSTRAP_SERVERS", DEFAULT_BROKERS),
             topic=env.get("KAFKA_TOPIC", DEFAULT_TOPIC),
+            starting_offsets=env.get("KAFKA_STARTING_OFFSETS", "latest"),
+            max_offsets_per_trigger=_int_setting(env, "KAFKA_MAX_OFFSETS_PER_TRIGGER", 0) or None,
             fail_on_data_loss=env.get("SPARK_KAFKA_FAIL_ON_DATA_LOSS", "false").lower() == "true",
             trigger_seconds=_int_setting(
                 env, "SPARK_STREAM_TRIGGER_SECONDS", DEFAULT_TRIGGER_SECONDS

@@ -17,11 +17,15 @@ from opinlake.functions.times import from_epoch_seconds
 HISTORY_SOURCE = "amazon_csv"
 LOWEST_SCORE, HIGHEST_SCORE = 1, 5
 
+NONBLANK_COLUMNS = ("ProductId", "UserId", "Text")
+
 
 def whole_number(text: Column, kind: str) -> Column:
-    """The number in the text, or NULL when it is none, has a fraction or does not fit.
-    A plain cast would end the job at the first bad value."""
-    return text.try_cast(kind)
+    """The number in the text, or NULL when it is none, has a fraction or does not fit. `5.0`
+    is the whole number 5: exports write columns that once had a gap as doubles. A plain cast
+    would end the job at the first bad value."""
+    number = text.try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), number.try_cast(kind))
 
 
 def keep_required(raw: DataFrame) -> DataFrame:
@@ -32,11 +36,8 @@ def keep_required(raw: DataFrame) -> DataFrame:
 
 
 def keep_nonblank(raw: DataFrame) -> DataFrame:
-    return raw.where(
-        tx.has_nonblank_text(F.col("ProductId"))
-        & tx.has_nonblank_text(F.col("UserId"))
-        & tx.has_nonblank_text(F.col("Text"))
-    )
+    present = (tx.has_nonblank_text(F.col(name)) for name in NONBLANK_COLUMNS)
+    return raw.where(reduce(operator.and_, present))
 
 
 def keep_in_range(raw: DataFrame) -> DataFrame:
@@ -44,10 +45,31 @@ def keep_in_range(raw: DataFrame) -> DataFrame:
     return raw.where(
         score.between(LOWEST_SCORE, HIGHEST_SCORE)
         & whole_number(F.col("Id"), "bigint").isNotNull()
-        & whole_number(F.col("Time"), "bigint").isNotNull()
+        & from_epoch_seconds(whole_number(F.col("Time"), "bigint")).isNotNull()
     )
 
 
+def rejected_history(raw: DataFrame) -> DataFrame:
+    """The rows that cleaning drops, each with the first reason that applies. Together with
+    `clean_history` these are all rows."""
+    seconds = whole_number(F.col("Time"), "bigint")
+    score = whole_number(F.col("Score"), "int")
+    reason = F.lit(None).cast("string")
+    for test, words in reversed(
+        [
+            *((F.col(c).isNull(), f"{c} is missing") for c in schemas.REQUIRED_HISTORY_COLUMNS),
+            *((~tx.has_nonblank_text(F.col(c)), f"{c} is blank") for c in NONBLANK_COLUMNS),
+            (score.isNull(), "Score is no whole number"),
+            (~score.between(LOWEST_SCORE, HIGHEST_SCORE), "Score is out of range"),
+            (whole_number(F.col("Id"), "bigint").isNull(), "Id is no whole number"),
+            (seconds.isNull(), "Time is no whole number"),
+            (from_epoch_seconds(seconds).isNull(), "Time is outside the years 1 to 9999"),
+        ]
+    ):
+        reason = F.when(test, words).otherwise(reason)
+    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def clean_history(raw: DataFrame) -> DataFrame:
     """Rows that can become reviews. Three narrow filters, merged into one by Catalyst."""
     return keep_in_range(keep_nonblank(keep_required(raw)))
@@ -61,7 +83,7 @@ def history_to_silver(cleaned: DataFrame) -> DataFrame:
         "score": whole_number(F.col("Score"), "int"),
         "text": F.col("Text"),
         "source": F.lit(HISTORY_SOURCE),
-        "review_id": F.col("Id"),
+        "review_id": whole_number(F.col("Id"), "bigint").cast("string"),
         "created_at": from_epoch_seconds(whole_number(F.col("Time"), "bigint")),
     }
     enriched = enrich(cleaned.select(*(value.alias(name) for name, value in values.items())))

@@ -3,15 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 REVIEW_KEY = ["review_id", "source"]
 
 
 def drop_repeats(reviews: DataFrame) -> DataFrame:
-    """One row per review id and source."""
-    return reviews.dropDuplicates(REVIEW_KEY)
+    """One row per review id and source, rows without an id as they are.
+
+    Of repeats the earliest stays; the remaining columns settle ties, so the surviving row is
+    the same on every run. One aggregate that combines on the map side: a review that was
+    sent a million times moves once a task.
+    """
+    names = reviews.columns
+    first = [name for name in ("created_at", "kafka_timestamp", "offset") if name in names]
+    order = [*first, *(name for name in names if name not in first)]
+    known = reviews.where(F.col("review_id").isNotNull())
+    # NULL sorts before every value in a struct: a missing time does not win over a known one.
+    ranked = F.struct(
+        *(F.col(name).isNull().alias(f"no_{name}") for name in first), *(F.col(n) for n in order)
+    )
+    kept = known.groupBy(*(F.col(key).alias(f"key_{key}") for key in REVIEW_KEY)).agg(
+        F.min(ranked).alias("row")
+    )
+    kept = kept.select(*(F.col(f"row.`{name}`").alias(name) for name in names))
+    return kept.unionAll(reviews.where(F.col("review_id").isNull()))
 
 
 def drop_stream_repeats(reviews: DataFrame, event_time: str, delay: str) -> DataFrame:
-    """The same on a stream. State older than the watermark is let go, so it stays bounded."""
-    return reviews.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(REVIEW_KEY)
+    """The same on a stream, where the first to arrive stays: what is written cannot be taken
+    back. State older than the watermark is let go, so it stays bounded. Repeated ids that are
+    later than the watermark are dropped by Spark (`numRowsDroppedByWatermark` of the progress
+    counts them); rows without an id pass whenever they come.
+    """
+    known = reviews.where(F.col("review_id").isNotNull())
+    once = known.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(REVIEW_KEY)
+    return once.union(reviews.where(F.col("review_id").isNull()))

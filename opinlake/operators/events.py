@@ -49,7 +49,14 @@ def decode(bronze: DataFrame, on_bad: str = "keep") -> DataFrame:
 
 def undecodable(bronze: DataFrame) -> DataFrame:
     """The bronze rows whose value is missing or no valid event."""
-    return _checked(bronze).where(~_is_event()).select(*schemas.BRONZE_EVENT.fieldNames())
+    return rejected(bronze).drop("reason")
+
+
+def rejected(bronze: DataFrame) -> DataFrame:
+    """The rows that a quarantine keeps out, with the first reason that applies. Together with
+    `decode(..., "quarantine")` these are all rows."""
+    checked = _checked(bronze).withColumn("reason", _fault()).where(~_is_event())
+    return checked.select(*schemas.BRONZE_EVENT.fieldNames(), "reason")
 
 
 def _checked(bronze: DataFrame) -> DataFrame:
@@ -63,8 +70,22 @@ def _checked(bronze: DataFrame) -> DataFrame:
     return bronze.select(*schemas.BRONZE_EVENT.fieldNames(), F.inline(F.array(event)))
 
 
+def _fault() -> Column:
+    """Why a value is no event, or NULL: it needs a text, a JSON object in it of the right
+    types, and every required field."""
+    reason = F.lit(None).cast("string")
+    for name in reversed(schemas.REQUIRED_EVENT_FIELDS):
+        reason = F.when(F.col(name).isNull(), f"{name} is missing").otherwise(reason)
+    return (
+        F.when(F.col("json_value").isNull(), "no value")
+        .when(~F.col("json_value").rlike(r"\S"), "blank value")
+        .when(F.col(_CORRUPT).isNotNull(), "not the JSON of an event")
+        .otherwise(reason)
+    )
+
+
 def _is_event() -> Column:
-    return F.col("json_value").isNotNull() & F.col(_CORRUPT).isNull()
+    return _fault().isNull()
 
 
 def events_to_silver(records: DataFrame, on_bad: str = "keep") -> DataFrame:

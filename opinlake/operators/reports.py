@@ -247,7 +247,9 @@ def keyword_count(silver: DataFrame, kind: str) -> DataFrame:
 
 # --- opinions -----------------------------------------------------------------------
 
-_NEVER = "0001-01-01 00:00:00"
+# Some decades above the smallest instant there is, in microseconds: as a floor it keeps every
+# row of silver. Earlier instants cannot be stored, as Parquet's calendar check overflows there.
+_FIRST_MICROS = -(2**63) + 2**50
 
 
 def opinions(
@@ -294,15 +296,15 @@ def _newest(
     Text makes up most of silver. A first top-k over narrow columns finds an instant that at
     least `limit` wanted rows reach; `sure` must imply `wanted` and need no text. As a scalar
     subquery that instant is pushed into the Parquet scan, which then skips the row groups
-    of older reviews. With fewer sure rows than `limit` nothing is skipped. The result is
-    the exact top-k either way.
+    of older reviews. With fewer sure rows than `limit` the floor is the smallest instant
+    there is and nothing is skipped. The result is the exact top-k either way.
     """
     check_limit(limit)
     dated = counted(silver).where(F.col("created_at").isNotNull())
     newest = dated.where(sure).select("created_at").orderBy(F.desc("created_at")).limit(limit)
     since = newest.agg(
         F.when(F.count(F.lit(1)) >= limit, F.min("created_at"))
-        .otherwise(F.lit(_NEVER).cast("timestamp"))
+        .otherwise(F.timestamp_micros(F.lit(_FIRST_MICROS)))
         .alias("since")
     ).scalar()
     ties = ("review_id", "product_id", "user_id", "score", "source", "text")

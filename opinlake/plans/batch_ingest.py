@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinlake.layout import LakeLayout, history_csv_path
 from opinlake.operators.cleaning import clean_history, history_to_silver
-from opinlake.session import lake_session, spread
+from opinlake.session import lake_session, materialize
 from opinlake.sources.history_csv import read_history_csv
 
 
@@ -29,30 +29,32 @@ class IngestAudit:
 def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
     """Append cleaned rows to bronze and enriched rows to silver.
 
-    Each silver file is in the order of time: reports on the newest reviews then skip all but
-    the end of a file. The order is local to a task and moves nothing.
+    The input is parsed once: its cleaned rows are kept as a table in the shared folder, and
+    both sinks are written from there. Silver is dealt out by ranges of time, so a file holds a
+    stretch of it and reports on the newest reviews skip the other files; how many files that
+    makes is left to adaptive execution.
 
-    The three counts are observed while silver is written, so auditing reads nothing twice:
-    the input is scanned once per sink. Nothing is shuffled; a lost executor costs its tasks,
-    and files appear when a job commits.
+    The three counts are observed on the way, so auditing reads nothing twice. A lost executor
+    costs its tasks, and files appear when a job commits. A load that dies between the two sinks
+    has to be cleared from bronze or taken out by `dedup.drop_repeats` before it is repeated.
     """
     counts = {name: Observation(name) for name in ("raw", "cleaned", "written")}
 
     def observed(rows: DataFrame, name: str) -> DataFrame:
         return rows.observe(counts[name], F.count(F.lit(1)).alias("rows"))
 
-    cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
-    silver = observed(history_to_silver(cleaned), "written")
-    clean_history(raw).write.mode("append").json(layout.bronze_batch)
-    by_time = silver.sortWithinPartitions("created_at")
-    by_time.write.mode("append").parquet(layout.silver_batch)
+    cleaned = materialize(observed(clean_history(observed(raw, "raw")), "cleaned"), "cleaned")
+    cleaned.write.mode("append").json(layout.bronze_batch)
+    silver = history_to_silver(cleaned)
+    by_time = silver.repartitionByRange("created_at").sortWithinPartitions("created_at")
+    observed(by_time, "written").write.mode("append").parquet(layout.silver_batch)
     return IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
 
 
 def main() -> None:
     spark, layout = lake_session("opinlake-history")
     path = history_csv_path()
-    audit = ingest_history(spread(read_history_csv(spark, path)), layout)
+    audit = ingest_history(read_history_csv(spark, path), layout)
     print(f"{path}: {audit}")
     spark.stop()
 

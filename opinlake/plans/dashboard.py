@@ -35,8 +35,9 @@ _LEVELS = {
 }
 
 
-def report_cube(silver: DataFrame) -> DataFrame:
-    """Every aggregate of the dashboard from one scan of narrow columns.
+def report_cube(silver: DataFrame, trusted: bool = False) -> DataFrame:
+    """Every aggregate of the dashboard from one scan of narrow columns. Of a `trusted` sample
+    nothing is filtered out, and sources keep their names.
 
     Each row counts on five grouping levels. They are combined on the map side, so what is
     shuffled is one row per task for each product and next to nothing for the other levels.
@@ -44,12 +45,11 @@ def report_cube(silver: DataFrame) -> DataFrame:
     shuffles a row per combination.)
     """
     # Grouping columns read as NULL on the other levels, so the measures use copies of them.
-    rows = rp.counted(silver).withColumns(
-        {
-            "source": F.coalesce("source", F.lit(rp.UNKNOWN_SOURCE)),
-            "points": F.col("score"),
-            "tone": F.col("sentiment"),
-        }
+    rows = silver if trusted else rp.counted(silver)
+    named = F.col("source") if trusted else F.coalesce("source", F.lit(rp.UNKNOWN_SOURCE))
+    texts = F.lit(True) if trusted else has_opinion()
+    rows = rows.withColumns(
+        {"source": named, "points": F.col("score"), "tone": F.col("sentiment")}
     )
     level = F.lit("all")
     for name, column in _LEVELS.items():
@@ -63,9 +63,7 @@ def report_cube(silver: DataFrame) -> DataFrame:
         F.min("created_at").alias("first_review_at"),
         F.max("created_at").alias("last_review_at"),
         *(
-            F.count_if(F.col(f"has_{kind}_keywords") & has_opinion()).alias(
-                f"{kind}_keyword_reviews"
-            )
+            F.count_if(F.col(f"has_{kind}_keywords") & texts).alias(f"{kind}_keyword_reviews")
             for kind in ("negative", "positive")
         ),
     )
@@ -82,13 +80,19 @@ def _keyword_row(cube: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def newest_opinions(silver: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """The rows of both lists of opinions."""
+    return rp.dashboard_opinions(silver, DASHBOARD_RECENT, catalog)
+
+
 def dashboard(
-    silver: DataFrame, cube: DataFrame, catalog: DataFrame | None = None
+    cube: DataFrame, newest: DataFrame, catalog: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The eleven relations by name.
 
-    `cube` should be a written table (see `session.materialize`): nine relations read it, and
-    a lazy frame would scan silver for each. The two lists of opinions are one top-k.
+    `cube` (`report_cube`) and `newest` (`newest_opinions`) should be written tables, see
+    `session.materialize`: nine relations read the one and two the other, and lazy frames
+    would scan silver for each.
     """
     products = _level(cube, "product")
     stats = products.select("product_id", "review_count", "average_score")
@@ -102,7 +106,6 @@ def dashboard(
         "last_review_at",
     )
     top, least = DASHBOARD_TOP, DASHBOARD_MIN_REVIEWS
-    newest = rp.dashboard_opinions(silver, DASHBOARD_RECENT, catalog)
     return {
         "summary": rp.with_summary_defaults(totals),
         "sentiment": _level(cube, "sentiment")
@@ -154,43 +157,18 @@ def analytics_bundle(silver: DataFrame, catalog: DataFrame | None = None) -> dic
     }
 
 
-def sample_dashboard(sample: DataFrame, catalog: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The dashboard of a trusted sample: nothing filtered out, sources by name.
-
-    The relations differ from the live ones only in their filters; a sample holds opinion
-    columns instead of silver.
-    """
-    top = DASHBOARD_TOP
-    stats = rp.product_stats(sample)
-    negative = rp.product_stats(sample, with_negative=True)
+def sample_newest(sample: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """The newest rows of a sample, for both lists of opinions."""
     ties = ("review_id", "product_id", "user_id", "score", "text")
     order = [F.desc("created_at"), *(F.asc_nulls_first(name) for name in ties)]
     newest = sample.orderBy(*order).limit(DASHBOARD_RECENT)
-    if catalog is not None:
-        newest = rp.with_product_name(newest, catalog).orderBy(*order)
-
-    def keyword(kind: str) -> DataFrame:
-        return sample.agg(
-            F.lit(kind).alias("keyword_type"),
-            F.count_if(F.col(f"has_{kind}_keywords")).alias("matching_reviews"),
-        )
-
-    totals = sample.agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.avg("score").alias("average_score"),
-        F.min("created_at").alias("first_review_at"),
-        F.max("created_at").alias("last_review_at"),
-    )
-    return {
-        "summary": rp.with_summary_defaults(totals),
-        "sentiment": rp.count_by(sample, "sentiment").orderBy("sentiment"),
-        "score_distribution": rp.count_by(sample, "score").orderBy("score"),
-        "top_products": rp.best_rated(stats, top, 1, catalog),
-        "worst_products": rp.worst_rated(stats, top, 1, catalog),
-        "negative_products": rp.most_negative(negative, top, 1, catalog),
-        "recent_reviews": newest,
-        "sources": rp.count_by(sample, "source").orderBy("source"),
-        "opinions": newest,
-        "negative_keywords": keyword("negative"),
-        "positive_keywords": keyword("positive"),
-    }
+    return newest if catalog is None else rp.with_product_name(newest, catalog).orderBy(*order)
+
+
+def sample_dashboard(
+    cube: DataFrame, newest: DataFrame, catalog: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The dashboard of a trusted sample: nothing filtered out, sources by name. It differs from
+    the live one in its inputs, `report_cube(..., trusted=True)` and `sample_newest`."""
+    relations = dashboard(cube, newest, catalog)
+    return relations | {"sources": relations["sources"].orderBy("source")}

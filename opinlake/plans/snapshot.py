@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinlake.layout import LakeLayout
-from opinlake.plans.dashboard import DASHBOARD_REPORTS, dashboard, report_cube
+from opinlake.plans.dashboard import (
+    DASHBOARD_REPORTS,
+    dashboard,
+    newest_opinions,
+    report_cube,
+)
+from opinlake.session import delete_path
 
 T = TypeVar("T")
 
@@ -55,10 +61,16 @@ def _snapshot_path(layout: LakeLayout, snapshot_id: str) -> str:
 
 
 def publish_snapshot(
-    spark: SparkSession, layout: LakeLayout, silver: DataFrame, catalog: DataFrame | None = None
+    spark: SparkSession,
+    layout: LakeLayout,
+    silver: DataFrame,
+    catalog: DataFrame | None = None,
+    keep: int | None = None,
 ) -> dict:
     """Compute, check and publish a snapshot; returns its envelope.
 
+    With `keep`, the relations of all but the newest `keep` snapshots are removed afterwards.
+
     Every snapshot has a folder of its own and readers find it through the manifest, whose
     row is written last: a job that dies half way leaves no visible snapshot, and readers
     keep the one before.
@@ -68,21 +80,24 @@ def publish_snapshot(
     cube = report_cube(silver)
     cube.write.parquet(f"{folder}/cube")
     stored_cube = spark.read.schema(cube.schema).parquet(f"{folder}/cube")
-    relations = dashboard(silver, stored_cube, catalog)
-    shared = relations["recent_reviews"]
-    shared.write.parquet(f"{folder}/recent_reviews")
-    relations["opinions"] = spark.read.schema(shared.schema).parquet(f"{folder}/recent_reviews")
+    newest = newest_opinions(silver, catalog)
+    newest.write.parquet(f"{folder}/recent_reviews")
+    stored_newest = spark.read.schema(newest.schema).parquet(f"{folder}/recent_reviews")
+    relations = dashboard(stored_cube, stored_newest, catalog)
     del relations["recent_reviews"]
     _overlapping(lambda name: relations[name].write.parquet(f"{folder}/{name}"), relations)
     problems = [
         row.report
         for row in completeness(spark, layout, snapshot_id).where(~F.col("complete")).collect()
     ]
+    delete_path(spark, f"{folder}/cube")
     if problems:
         raise IncompleteSnapshot(f"incomplete relations: {', '.join(sorted(problems))}")
     generated_at = datetime.now(timezone.utc)
     entry = spark.createDataFrame([(snapshot_id, generated_at)], MANIFEST)
     entry.coalesce(1).write.mode("append").parquet(_manifest_path(layout))
+    if keep is not None:
+        remove_old_snapshots(spark, layout, keep)
     return {
         "snapshot_id": snapshot_id,
         "generated_at": generated_at,
@@ -91,6 +106,21 @@ def publish_snapshot(
     }
 
 
+def remove_old_snapshots(spark: SparkSession, layout: LakeLayout, keep: int) -> None:
+    """Remove the relations of all but the newest `keep` published snapshots. The manifest keeps
+    its rows; readers look for the newest one."""
+    if keep < 1:
+        raise ValueError("at least one snapshot has to stay")
+    manifest = spark.read.schema(MANIFEST).parquet(_manifest_path(layout))
+    newest_first = manifest.orderBy(F.desc("generated_at"), "snapshot_id")
+    for row in newest_first.offset(keep).toLocalIterator():
+        delete_path(spark, _snapshot_path(layout, row["snapshot_id"]))
+
+
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def completeness(spark: SparkSession, layout: LakeLayout, snapshot_id: str) -> DataFrame:
     """One row per relation: is it there, has it its columns, how many rows."""
     folder = _snapshot_path(layout, snapshot_id)
@@ -98,7 +128,9 @@ def completeness(spark: SparkSession, layout: LakeLayout, snapshot_id: str) -> D
     def check(name: str) -> tuple[str, bool, int]:
         try:
             relation = spark.read.parquet(f"{folder}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
             return name, False, 0
         rows = relation.count()
         shaped = REQUIRED_COLUMNS[name] <= set(relation.columns)
@@ -119,7 +151,9 @@ def latest_snapshot(spark: SparkSession, layout: LakeLayout) -> DataFrame | None
     """The envelope of the newest published snapshot, or nothing when there is none."""
     try:
         manifest = spark.read.schema(MANIFEST).parquet(_manifest_path(layout))
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
         return None
     newest = manifest.orderBy(F.desc("generated_at"), "snapshot_id").limit(1)
     return newest.select(

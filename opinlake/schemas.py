@@ -52,6 +52,9 @@ REVIEW_EVENT = _struct(
     " review_id string, created_at string"
 )
 
+# The fields an event cannot do without.
+REQUIRED_EVENT_FIELDS = ("product_id", "user_id", "score", "text", "review_id", "created_at")
+
 SILVER = _struct(
     "kafka_key string, topic string, partition int, offset bigint, kafka_timestamp timestamp,"
     " product_id string, user_id string, score int, text string, source string,"

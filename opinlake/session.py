@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,13 +36,20 @@ CLUSTER_SETTINGS = {
 def build_session(
     app_name: str, master: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:
-    """A session with the cluster settings; `settings` override them."""
+    """A session with the cluster settings; `settings` and whatever was submitted with the job
+    override them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**LAKE_SETTINGS, **CLUSTER_SETTINGS, **(settings or {})}.items():
+    for key, value in {**LAKE_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    # Submitted settings are known only now; all of these can be set on a running session.
+    given = session.sparkContext.getConf()
+    for key, value in CLUSTER_SETTINGS.items():
+        if not given.contains(key):
+            session.conf.set(key, value)
+    return session
 
 
 def lake_session(app_name: str) -> tuple[SparkSession, LakeLayout]:
@@ -71,11 +79,11 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folders.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="opinlake-")
-    )
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="opinlake-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -83,6 +91,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/opinlake/{uuid.uuid4().hex}/{name}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and the path in its terms."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all below it; one that is not there is fine."""
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, none if it is not there."""
+    fs, target = file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, in one step."""
+    fs, target = file_system(spark, path)
+    fs.create(target, True).close()
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core a share when a scan has fewer tasks than there are cores.
 
@@ -91,10 +123,10 @@ def spread(scan: DataFrame) -> DataFrame:
     for plain scans: counting the tasks of a frame with shuffles would run them.
     """
     spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return scan
-    return scan.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # A number of cores, not of shuffle partitions: what is written after it keeps few files.
+    return scan.repartition(spark.sparkContext.defaultParallelism)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -73,4 +73,5 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bronze_peek(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
-    return read_bronze(spark, path).limit(n)
+    """The first `n` raw records by offset."""
+    return read_bronze(spark, path).orderBy("offset", "partition", "topic").limit(n)

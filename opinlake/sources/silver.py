@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinlake import schemas
+from opinlake.functions.times import to_plain_values
 from opinlake.layout import LakeLayout
 
 
+LANES = ("batch", "stream")
+
+
+class MissingLane(FileNotFoundError):
+    """A lane of silver that was asked for is not there."""
+
+
 def _lane(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema(schemas.SILVER).parquet(path)
@@ -22,17 +30,26 @@ def _lane(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_silver(
-    spark: SparkSession, layout: LakeLayout, lanes: Sequence[str] = ("batch", "stream")
+    spark: SparkSession,
+    layout: LakeLayout,
+    lanes: Sequence[str] = LANES,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
-    """The lanes as one relation; one that was never written is left out.
+    """The lanes as one relation.
+
+    A lane that is not there is an error, since an empty relation would look like an empty
+    lake; lanes named in `optional` are left out instead, but one at least must be there.
 
     Each lane is read from its own folder, which keeps the commit log of the stream's file
     sink in force: files of unfinished micro-batches stay invisible.
     """
     paths = {"batch": layout.silver_batch, "stream": layout.silver_stream}
-    written = [rows for lane in lanes if (rows := _lane(spark, paths[lane])) is not None]
-    if not written:
-        return spark.createDataFrame([], schemas.SILVER)
+    found = {lane: _lane(spark, paths[lane]) for lane in lanes}
+    missing = [lane for lane, rows in found.items() if rows is None and lane not in optional]
+    written = [rows for rows in found.values() if rows is not None]
+    if missing or not written:
+        absent = missing or list(lanes)
+        raise MissingLane(f"no silver at {', '.join(paths[lane] for lane in absent)}")
     return union_lanes(*written)
 
 
@@ -70,16 +87,17 @@ def create_external_tables(
 
 def fetch_one(report: DataFrame) -> dict:
     """The first row of a report as a dict, or an empty one."""
-    row = report.limit(1).first()
+    row = to_plain_values(report.limit(1)).first()
     return row.asDict() if row else {}
 
 
-def fetch_report(report: DataFrame, limit: int = 100) -> list[dict]:
-    """The rows of a top-k report as dicts. More than `limit` rows are an error, not cut off:
-    relations without a bound belong in a table, not on the driver."""
-    rows = report.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"the report has more than {limit} rows; write it to a table")
+def fetch_report(report: DataFrame, bound: int) -> list[dict]:
+    """The rows of a report as dicts of plain values. The caller names the bound that its
+    report has; more rows are an error, not cut off: relations without a bound stay frames or
+    go to a table, not to the driver."""
+    rows = to_plain_values(report).limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"the report has more than {bound} rows; write it to a table")
     return [row.asDict() for row in rows]
 
 
@@ -101,8 +119,12 @@ def table_peek(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def first_rows(spark: SparkSession, table: str, n: int = 10) -> DataFrame:
-    return spark.table(table).limit(n)
+def first_rows(
+    spark: SparkSession, table: str, n: int = 10, order: Sequence[str] = ()
+) -> DataFrame:
+    """Some rows of a table, or the first ones in the given order."""
+    rows = spark.table(table)
+    return (rows.orderBy(*(F.asc_nulls_last(c) for c in order)) if order else rows).limit(n)
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
@@ -111,13 +133,24 @@ def list_tables(spark: SparkSession, database: str) -> list[str]:
 
 def silver_preview(silver: DataFrame, n: int = 20) -> DataFrame:
     """The latest stream rows by offset. Rows without one come last; the remaining columns
-    settle ties."""
+    settle ties.
+
+    Two passes, as for the newest reviews: a top-k over the offsets alone gives the offset
+    that `n` rows reach, and with it the second pass skips the texts of older row groups and of
+    all historical rows, which have none. With fewer than `n` offsets every row is looked at.
+    """
     shown = (
         "product_id", "user_id", "score", "sentiment", "source", "text_length", "word_count",
         "has_negative_keywords", "has_positive_keywords", "text", "review_id", "created_at",
         "offset",
     )
     ties = ("review_id", "product_id", "user_id", "score", "text")
+    known = silver.where(F.col("offset").isNotNull())
+    latest = known.select("offset").orderBy(F.desc("offset")).limit(n)
+    # At most `n` numbers: whether there are enough decides which rows can be among the last.
+    reached = latest.agg(F.count(F.lit(1)).alias("rows"), F.min("offset").alias("since")).first()
+    if reached["rows"] >= n:
+        silver = silver.where(F.col("offset") >= reached["since"])
     return (
         silver.select(*shown)
         .orderBy(F.desc_nulls_last("offset"), *(F.asc_nulls_first(c) for c in ties))

@@ -6,18 +6,20 @@ tests. Each query has a checkpoint of its own and is restarted on it after a fai
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from opinlake import schemas
 from opinlake.functions.review import sentiment_of
 from opinlake.layout import LakeLayout, StreamSettings
-from opinlake.operators.events import decode, events_to_silver, open_envelope
-from opinlake.session import lake_session
+from opinlake.operators.catalog import enrich_with_catalog
+from opinlake.operators.events import decode, events_to_silver, open_envelope, rejected
+from opinlake.session import child_names, delete_path, lake_session, touch
 from opinlake.sources.events import kafka_stream
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -25,6 +27,7 @@ AVAILABLE_NOW = {"availableNow": True}
 # Names of the queries and of their checkpoints.
 BRONZE_QUERY, BRONZE_CHECKPOINT = "bronze_reviews", "bronze_reviews_raw"
 SILVER_QUERY, SILVER_CHECKPOINT = "silver_reviews", "silver_reviews_enriched"
+REJECTED_QUERY, REJECTED_CHECKPOINT = "rejected_reviews", "rejected_reviews_raw"
 
 
 # --- relations ----------------------------------------------------------------------
@@ -96,6 +99,18 @@ def start_silver(
     )
 
 
+def start_rejects(records: DataFrame, layout: LakeLayout, trigger: dict) -> StreamingQuery:
+    """The records that a quarantine keeps out of silver, raw, with the reason."""
+    return start_file_sink(
+        rejected(open_envelope(records)),
+        "json",
+        layout.bronze_rejected,
+        layout.checkpoint(REJECTED_CHECKPOINT),
+        trigger,
+        REJECTED_QUERY,
+    )
+
+
 def start_console(
     rows: DataFrame,
     name: str,
@@ -103,31 +118,40 @@ def start_console(
     shown: int = 20,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Show each micro-batch (append) or the whole result so far (complete)."""
+    """Show the first rows of each micro-batch (append) or of the result so far (complete).
+
+    Spark's own console sink sends a whole micro-batch to the driver to print a few rows of
+    it. Here a limit, or a top-k where the rows are in order, leaves `shown` of them.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"{name}, batch {batch_id}")
+        batch.limit(shown).show(shown, truncate=False)
+
     with state_partition_number(rows.sparkSession, state_partitions):
-        return (
-            rows.writeStream.queryName(name)
-            .format("console")
-            .outputMode(mode)
-            .option("truncate", False)
-            .option("numRows", shown)
-            .start()
-        )
+        return rows.writeStream.queryName(name).outputMode(mode).foreachBatch(show).start()
 
 
 def start_result_table(
     rows: DataFrame, path: str, checkpoint: str, trigger: dict, state_partitions: int | None = None
 ) -> StreamingQuery:
-    """Keep the whole result of an aggregate as a table in two alternating slots.
+    """Keep the whole result of an aggregate as a table, written anew by each micro-batch.
 
-    The executors write it, nothing passes the driver. While one slot is rewritten the other
-    holds the result before; a micro-batch repeated after a failure rewrites its own slot.
-    State is spread over `state_partitions`, a number the checkpoint keeps for good.
+    The executors write it, nothing passes the driver. Every micro-batch has a folder of its
+    own and becomes visible by an empty file that is made last; the result before it stays
+    until the next one is visible, so a reader is never left without its files. A micro-batch
+    repeated after a failure rewrites its own folder. State is spread over
+    `state_partitions`, a number the checkpoint keeps for good.
     """
 
     def store(result: DataFrame, batch_id: int) -> None:
-        stamped = result.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        spark = result.sparkSession
+        result.write.mode("overwrite").parquet(_result_folder(path, batch_id))
+        touch(spark, f"{path}/{_PUBLISHED}/{batch_id}")
+        for old in _published(spark, path):
+            if old < batch_id - 1:
+                delete_path(spark, f"{path}/{_PUBLISHED}/{old}")
+                delete_path(spark, _result_folder(path, old))
 
     with state_partition_number(rows.sparkSession, state_partitions):
         return (
@@ -139,11 +163,51 @@ def start_result_table(
         )
 
 
-def latest_result(spark: SparkSession, path: str) -> DataFrame:
-    """The table the newest micro-batch left."""
-    results = spark.read.parquet(path)
-    newest = results.agg(F.max("batch_id")).scalar()
-    return results.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+_PUBLISHED = "_published"
+
+
+def _result_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
+
+
+def _published(spark: SparkSession, path: str) -> list[int]:
+    names = child_names(spark, f"{path}/{_PUBLISHED}")
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def latest_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table the newest finished micro-batch left, without rows before the first one. It
+    can be read at any time, also while the next result is being written."""
+    published = _published(spark, path)
+    if not published:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_result_folder(path, published[-1]))
+
+
+def start_enriched(
+    reviews: DataFrame,
+    read_catalog: Callable[[], DataFrame],
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+) -> StreamingQuery:
+    """Reviews with product names, appended to the folder `path`.
+
+    The catalog is read and measured again for every micro-batch: products added later are
+    found, an overwritten catalog does no harm, and one that has outgrown the broadcast limit
+    is joined by a shuffle from then on. A repeated micro-batch rewrites its own folder.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        named = enrich_with_catalog(batch, read_catalog())
+        named.write.mode("overwrite").parquet(_result_folder(path, batch_id))
+
+    return (
+        reviews.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
+        .trigger(**trigger)
+        .start()
+    )
 
 
 @contextmanager

@@ -53,10 +53,30 @@ REQUIRED = " AND ".join(
     f"{c} IS NOT NULL" for c in ("Id", "ProductId", "UserId", "Score", "Text", "Time")
 )
 NONBLANK = " AND ".join(f"length(trim({c})) > 0" for c in ("ProductId", "UserId", "Text"))
-INTEGER = "'[+-]?[0-9]+'"
+INTEGER = "'[+-]?[0-9]+(\\.0+)?'"
+SECONDS = f"CASE WHEN regexp_full_match(Time, {INTEGER}) THEN CAST(split_part(Time, '.', 1) AS HUGEINT) END"
 IN_RANGE = (
-    f"regexp_full_match(Id, {INTEGER}) AND regexp_full_match(Time, {INTEGER})"
-    f" AND regexp_full_match(Score, {INTEGER}) AND TRY_CAST(Score AS INTEGER) BETWEEN 1 AND 5"
+    f"regexp_full_match(Id, {INTEGER}) AND {SECONDS} BETWEEN -62135596800 AND 253402300799"
+    f" AND regexp_full_match(Score, {INTEGER})"
+    " AND TRY_CAST(split_part(Score, '.', 1) AS INTEGER) BETWEEN 1 AND 5"
+)
+REJECTS = " ".join(
+    f"WHEN {test} THEN '{words}'"
+    for test, words in (
+        *((f"{c} IS NULL", f"{c} is missing") for c in "Id ProductId UserId Score Text Time".split()),
+        *((f"length(trim({c})) = 0", f"{c} is blank") for c in "ProductId UserId Text".split()),
+        (f"NOT regexp_full_match(Score, {INTEGER})", "Score is no whole number"),
+        (
+            "CAST(split_part(Score, '.', 1) AS INTEGER) NOT BETWEEN 1 AND 5",
+            "Score is out of range",
+        ),
+        (f"NOT regexp_full_match(Id, {INTEGER})", "Id is no whole number"),
+        (f"NOT regexp_full_match(Time, {INTEGER})", "Time is no whole number"),
+        (
+            f"NOT ({SECONDS} BETWEEN -62135596800 AND 253402300799)",
+            "Time is outside the years 1 to 9999",
+        ),
+    )
 )
 
 ISO = (
@@ -75,6 +95,13 @@ _SILVER_COLUMNS = (
     " has_positive_keywords"
 )
 
+# Offsets (modulo 100) of records without any field, and rows that a quarantine keeps out.
+NO_EVENT = "0, 7, 13, 19, 23, 33"
+QUARANTINED = (
+    f"(\"offset\" % 100 IN ({NO_EVENT}, 51, 67, 77) OR \"offset\" % 29 = 0"
+    " OR product_id IS NULL OR user_id IS NULL OR text IS NULL)"
+)
+
 _VIEWS = {
     "history": tb.duckdb_text(tb.HISTORY),
     "cleaned": f"SELECT * FROM history WHERE {REQUIRED} AND {NONBLANK} AND {IN_RANGE}",
@@ -82,14 +109,16 @@ _VIEWS = {
         "SELECT CAST(NULL AS VARCHAR) AS kafka_key, CAST(NULL AS VARCHAR) AS topic,"
         " CAST(NULL AS INTEGER) AS partition, CAST(NULL AS BIGINT) AS \"offset\","
         " CAST(NULL AS TIMESTAMP) AS kafka_timestamp, ProductId AS product_id,"
-        " UserId AS user_id, CAST(Score AS INTEGER) AS score, Text AS text,"
-        " 'amazon_csv' AS source, Id AS review_id,"
-        " make_timestamp(CAST(Time AS BIGINT) * 1000000) AS created_at FROM cleaned"
+        " UserId AS user_id, CAST(split_part(Score, '.', 1) AS INTEGER) AS score, Text AS text,"
+        " 'amazon_csv' AS source, split_part(Id, '.', 1) AS review_id,"
+        " make_timestamp(CAST(split_part(Time, '.', 1) AS BIGINT) * 1000000) AS created_at"
+        " FROM cleaned"
     ),
     "live": tb.duckdb_text(tb.LIVE),
     "records": (
         "SELECT nullif(product_id, '') AS kafka_key,"
-        " CASE event_id % 100 WHEN 0 THEN 'garbage' WHEN 33 THEN NULL"
+        " CASE event_id % 100 WHEN 0 THEN 'garbage' WHEN 33 THEN NULL WHEN 7 THEN ''"
+        " WHEN 13 THEN '  ' WHEN 19 THEN '{}' WHEN 23 THEN 'null'"
         " WHEN 51 THEN regexp_replace(json, '\"score\":([0-9])', '\"score\":\"\\1\"')"
         " WHEN 67 THEN regexp_replace(json, '\"score\":([0-9])', '\"score\":\\1.5')"
         " WHEN 77 THEN regexp_replace(json, '\"score\":[0-9],', '')"
@@ -106,13 +135,13 @@ _VIEWS = {
         + ", ".join(
             f" CASE WHEN event_id % 100 IN ({dropped}) THEN NULL ELSE {c} END AS {c}"
             for c, dropped in (
-                ("product_id", "0, 33"),
-                ("user_id", "0, 33"),
-                ("score", "0, 33, 51, 67, 77"),
-                ("text", "0, 33"),
-                ("source", "0, 33"),
-                ("review_id", "0, 33"),
-                ("created_at", "0, 33, 83"),
+                ("product_id", NO_EVENT),
+                ("user_id", NO_EVENT),
+                ("score", f"{NO_EVENT}, 51, 67, 77"),
+                ("text", NO_EVENT),
+                ("source", NO_EVENT),
+                ("review_id", NO_EVENT),
+                ("created_at", f"{NO_EVENT}, 83"),
             )
         )
         + " FROM live"
@@ -146,7 +175,10 @@ _VIEWS = {
     "sample": (
         "SELECT ProductId AS product_id, UserId AS user_id, CAST(Score AS INTEGER) AS score,"
         " Text AS text, 'sample_csv' AS source, Id AS review_id,"
-        " make_timestamp(CAST(Time AS BIGINT) * 1000000) AS created_at FROM cleaned"
+        " make_timestamp(CAST(Time AS BIGINT) * 1000000) AS created_at FROM typed"
+    ),
+    "typed": (
+        "SELECT * FROM cleaned WHERE Score NOT LIKE '%.%' AND Time NOT LIKE '%.%'"
     ),
     "sample_reviews": f"SELECT *, {_enriched(WORD_COUNT_STRICT)} FROM sample",
 }
@@ -161,7 +193,8 @@ _NEEDS = {
     "silver": ["batch_silver", "stream_silver"],
     "counted": ["silver"],
     "checked": ["submissions"],
-    "sample": ["cleaned"],
+    "typed": ["cleaned"],
+    "sample": ["typed"],
     "sample_reviews": ["sample"],
 }
 
@@ -385,13 +418,20 @@ _CUBE = "\nUNION ALL ".join(
 )
 
 
-def _scaled(kind: str, label: str) -> str:
+_DENSE = (
+    "SELECT CAST(s AS INTEGER) AS score, count(c.product_id_or_blank) AS review_count"
+    " FROM range(1, 6) AS r(s) LEFT JOIN"
+    " (SELECT score, coalesce(product_id, '') AS product_id_or_blank FROM counted) AS c"
+    " ON c.score = s GROUP BY s"
+)
+
+
+def _scaled(kind: str, report: str) -> str:
     return (
         f"SELECT '{kind}' AS kind, label, review_count,"
         " CAST(greatest(6, floor(CAST(review_count AS DOUBLE) / max(review_count) OVER () * 100"
         " + 0.5)) AS INTEGER) AS percent FROM"
-        f" (SELECT CAST({label} AS VARCHAR) AS label, count(*) AS review_count FROM counted"
-        f" GROUP BY {label})"
+        f" (SELECT CAST({kind} AS VARCHAR) AS label, review_count FROM ({report}))"
     )
 
 
@@ -490,15 +530,52 @@ ORACLE: dict[str, str] = {
     ),
     "bronze_json_roundtrip": _with("cleaned", f"SELECT {HISTORY_COLUMNS} FROM cleaned"),
     "batch_dedup": _with(
-        "batch_silver", "SELECT DISTINCT review_id, source FROM batch_silver"
+        "silver",
+        f"SELECT {_SILVER_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY review_id,"
+        " source ORDER BY created_at IS NULL, kafka_timestamp IS NULL, \"offset\" IS NULL,"
+        " created_at, kafka_timestamp, \"offset\", kafka_key NULLS FIRST, topic NULLS FIRST,"
+        " partition NULLS FIRST, product_id NULLS FIRST, user_id NULLS FIRST,"
+        " score NULLS FIRST, text NULLS FIRST) AS place FROM silver WHERE review_id IS NOT NULL)"
+        f" WHERE place = 1 UNION ALL SELECT {_SILVER_COLUMNS} FROM silver"
+        f" WHERE review_id IS NULL UNION ALL SELECT {_SILVER_COLUMNS} FROM silver"
+        " WHERE review_id IS NULL",
+    ),
+    "history_rejects": _with(
+        "history",
+        f"SELECT reason, count(*) AS rejected FROM (SELECT CASE {REJECTS} END AS reason"
+        " FROM history) WHERE reason IS NOT NULL GROUP BY reason",
     ),
     # events
     "kafka_envelope": _BRONZE,
     "json_parse": _PARSED,
     "json_quarantine": _with(
+        "records stream_reviews",
+        f"SELECT kafka_key, json_value, {_ORIGIN[11:]} FROM records WHERE \"offset\" IN"
+        f" (SELECT \"offset\" FROM stream_reviews WHERE {QUARANTINED})",
+    ),
+    "json_accepted": _with(
+        "stream_reviews",
+        f"SELECT {_ORIGIN}, {_REVIEW_COLUMNS} FROM stream_reviews WHERE NOT {QUARANTINED}",
+    ),
+    "bronze_peek": _with(
         "records",
         f"SELECT kafka_key, json_value, {_ORIGIN[11:]} FROM records"
-        " WHERE \"offset\" % 100 IN (0, 33, 51, 67)",
+        " ORDER BY \"offset\", partition LIMIT 5",
+    ),
+    "table_first_rows": _with(
+        "silver",
+        f"SELECT {_SILVER_COLUMNS} FROM silver ORDER BY review_id NULLS LAST,"
+        " source NULLS LAST, created_at NULLS LAST, \"offset\" NULLS LAST LIMIT 10",
+    ),
+    "plain_values": _with(
+        "silver",
+        "SELECT review_id, source, "
+        + ", ".join(
+            f"CASE WHEN epoch_us({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S')"
+            f" ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END AS {c}"
+            for c in ("created_at", "kafka_timestamp")
+        )
+        + " FROM silver",
     ),
     "kafka_encode": _with(
         "live", f"SELECT nullif(product_id, '') AS key, {JSON} AS value FROM live"
@@ -584,12 +661,7 @@ ORACLE: dict[str, str] = {
     "summary_defaults": _counted(_SUMMARY + "counted"),
     "sentiment_counts": _counted(_counts("counted", "sentiment")),
     "score_distribution": _counted(_counts("counted", "score")),
-    "score_distribution_dense": _counted(
-        "SELECT CAST(s AS INTEGER) AS score, count(c.product_id_or_blank) AS review_count"
-        " FROM range(1, 6) AS r(s) LEFT JOIN"
-        " (SELECT score, coalesce(product_id, '') AS product_id_or_blank FROM counted) AS c"
-        " ON c.score = s GROUP BY s"
-    ),
+    "score_distribution_dense": _counted(_DENSE),
     "sources": _counted(_SOURCES),
     "negative_keywords": _counted(_keywords("negative")),
     "positive_keywords": _counted(_keywords("positive")),
@@ -613,7 +685,14 @@ ORACLE: dict[str, str] = {
     "raw_product_scores": _with("silver", f"SELECT {_STATS} FROM silver GROUP BY product_id"),
     "dashboard_cube": _counted(_CUBE),
     "scaled_counts": _counted(
-        " UNION ALL ".join(_scaled(k, k) for k in ("sentiment", "score", "source"))
+        " UNION ALL ".join(
+            _scaled(kind, report)
+            for kind, report in (
+                ("sentiment", _counts("counted", "sentiment")),
+                ("score", _DENSE),
+                ("source", _SOURCES),
+            )
+        )
     ),
     # bundles
     "dashboard": _with("counted catalog", _DASHBOARD_SQL),
@@ -677,7 +756,7 @@ ORACLE: dict[str, str] = {
     ),
     "stream_dedup": _with(
         "stream_reviews",
-        f"SELECT {_ORIGIN}, {_REVIEW_COLUMNS} FROM stream_reviews"
-        " WHERE \"offset\" % 100 NOT IN (0, 33, 51, 67)",
+        f"SELECT {_ORIGIN}, {_REVIEW_COLUMNS} FROM stream_reviews UNION ALL"
+        f" SELECT {_ORIGIN}, {_REVIEW_COLUMNS} FROM stream_reviews WHERE review_id IS NULL",
     ),
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinlake import schemas
 from opinlake.functions import review as rv
 from opinlake.functions import text as tx
+from opinlake.functions.times import to_plain_values
 from opinlake.layout import LakeLayout
 from opinlake.operators import catalog as ct
 from opinlake.operators import cleaning, dedup, events, quality
@@ -78,7 +79,10 @@ def sample_csv_folder(spark: SparkSession, sf_dir: str) -> str:
     """The rows that pass cleaning as CSV files: a trusted sample."""
 
     def write(path: str) -> str:
-        tb.write_history_csv(cleaning.clean_history(history(spark, sf_dir)), path)
+        # A strict read insists on plain integers.
+        rows = cleaning.clean_history(history(spark, sf_dir))
+        rows = rows.where(~F.contains(F.col("Score"), F.lit(".")) & ~F.contains(F.col("Time"), F.lit(".")))
+        tb.write_history_csv(rows, path)
         return path
 
     return _once(spark, sf_dir, "sample_csv", write)
@@ -89,7 +93,7 @@ def lake(spark: SparkSession, sf_dir: str) -> LakeLayout:
 
     def write(path: str) -> LakeLayout:
         layout = LakeLayout(path)
-        batch_ingest.ingest_history(spread(history(spark, sf_dir)), layout)
+        batch_ingest.ingest_history(history(spark, sf_dir), layout)
         jobs.finish(
             jobs.start_silver(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW)
         )
@@ -145,6 +149,32 @@ def topic_peek(spark, sf_dir):
     return event_source.first_messages(tb.record_batch(spark, sf_dir))
 
 
+@query
+def table_first_rows(spark, sf_dir):
+    view = silver.create_external_tables(spark, lake(spark, sf_dir), "opinlake_first")
+    return silver.first_rows(spark, view, 10, ["review_id", "source", "created_at", "offset"])
+
+
+@query
+def bronze_peek(spark, sf_dir):
+    layout = LakeLayout(scratch_path(spark, "lake"))
+    jobs.finish(jobs.start_bronze(tb.record_stream(spark, sf_dir), layout, jobs.AVAILABLE_NOW))
+    return event_source.bronze_peek(spark, layout.bronze_stream, 5)
+
+
+@query
+def plain_values(spark, sf_dir):
+    """Instants as reports hand them on."""
+    rows = lake_silver(spark, sf_dir)
+    return to_plain_values(rows.select("review_id", "source", "created_at", "kafka_timestamp"))
+
+
+@query
+def history_rejects(spark, sf_dir):
+    rejected = cleaning.rejected_history(history(spark, sf_dir))
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 @query
 def silver_preview(spark, sf_dir):
     return silver.silver_preview(lake_silver(spark, sf_dir))
@@ -189,7 +219,7 @@ def normalize_reviews(spark, sf_dir):
 @query
 def batch_ingest_(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
-    raw = spread(history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir)))
+    raw = history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
     batch_ingest.ingest_history(raw, layout)
     return silver.read_silver(spark, layout, ["batch"])
 
@@ -200,7 +230,7 @@ QUERIES["batch_ingest"] = QUERIES.pop("batch_ingest_")
 @query
 def ingest_audit(spark, sf_dir):
     layout = LakeLayout(scratch_path(spark, "lake"))
-    raw = spread(history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir)))
+    raw = history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
     return batch_ingest.ingest_history(raw, layout).to_frame(spark)
 
 
@@ -213,10 +243,10 @@ def bronze_json_roundtrip(spark, sf_dir):
 
 @query
 def batch_dedup(spark, sf_dir):
-    """The batch lane loaded twice holds every review twice; one of each is left."""
-    batch = cleaning.history_to_silver(cleaning.clean_history(history(spark, sf_dir)))
-    twice = batch.select("review_id", "source").unionAll(batch.select("review_id", "source"))
-    return dedup.drop_repeats(twice)
+    """Both lanes loaded twice hold every review twice, and some ids in both lanes; one row of
+    each is left, and all rows without an id."""
+    rows = lake_silver(spark, sf_dir)
+    return dedup.drop_repeats(rows.unionAll(rows))
 
 
 # --- events -------------------------------------------------------------------------
@@ -237,6 +267,13 @@ def json_quarantine(spark, sf_dir):
     return events.undecodable(events.open_envelope(tb.record_batch(spark, sf_dir)))
 
 
+@query
+def json_accepted(spark, sf_dir):
+    """What `json_quarantine` leaves."""
+    bronze = events.open_envelope(tb.record_batch(spark, sf_dir))
+    return events.decode(bronze, on_bad="quarantine")
+
+
 @query
 def kafka_encode(spark, sf_dir):
     return events.encode(tb.live_reviews(tb.table(spark, sf_dir, "events")))
@@ -253,7 +290,7 @@ def json_roundtrip(spark, sf_dir):
         *(F.lit(None).cast(kind).alias(name) for name, kind in (o.split() for o in origin)),
     )
     names = schemas.REVIEW_EVENT.fieldNames()
-    return events.decode(bronze, on_bad="quarantine").select(*names)
+    return events.decode(bronze).select(*names)
 
 
 @query
@@ -436,13 +473,16 @@ _report("dashboard_cube", db.report_cube)
 
 @query
 def scaled_counts(spark, sf_dir):
+    """The bars of the three charts, each over its report: all five scores, named sources."""
     rows = lake_silver(spark, sf_dir)
-    labels = {"sentiment": "sentiment", "score": "score", "source": "source"}
+    charts = {
+        "sentiment": rp.sentiment_counts(rows),
+        "score": rp.score_distribution_dense(rows),
+        "source": rp.sources(rows),
+    }
     bars = None
-    for kind, column in labels.items():
-        counts = rp.counted(rows).groupBy(F.col(column).cast("string").alias("label")).agg(
-            F.count(F.lit(1)).alias("review_count")
-        )
+    for kind, report in charts.items():
+        counts = report.select(F.col(kind).cast("string").alias("label"), "review_count")
         bar = rp.scaled(counts).withColumn("kind", F.lit(kind))
         bars = bar if bars is None else bars.unionByName(bar)
     return bars
@@ -494,9 +534,10 @@ def one_relation(bundle: dict[str, DataFrame]) -> DataFrame:
 
 @query
 def dashboard(spark, sf_dir):
-    rows = lake_silver(spark, sf_dir)
+    rows, products = lake_silver(spark, sf_dir), tb.catalog(spark, sf_dir)
     cube = materialize(db.report_cube(rows), "cube")
-    return one_relation(db.dashboard(rows, cube, tb.catalog(spark, sf_dir)))
+    newest = materialize(db.newest_opinions(rows, products), "newest")
+    return one_relation(db.dashboard(cube, newest, products))
 
 
 @query
@@ -516,7 +557,10 @@ def sample_dashboard(spark, sf_dir):
     sample = materialize(
         history_csv.read_sample_csv(spark, sample_csv_folder(spark, sf_dir)), "sample"
     )
-    return one_relation(db.sample_dashboard(sample, tb.catalog(spark, sf_dir)))
+    products = tb.catalog(spark, sf_dir)
+    cube = materialize(db.report_cube(sample, trusted=True), "cube")
+    newest = materialize(db.sample_newest(sample, products), "newest")
+    return one_relation(db.sample_dashboard(cube, newest, products))
 
 
 def _published(spark, sf_dir) -> tuple[LakeLayout, str]:
@@ -610,7 +654,7 @@ def _result_of(spark, result: DataFrame, name: str) -> DataFrame:
         state_partitions=spark.sparkContext.defaultParallelism,
     )
     jobs.finish(started)
-    return jobs.latest_result(spark, f"{folder}/out")
+    return jobs.latest_result(spark, f"{folder}/out", result.schema)
 
 
 @query
@@ -627,21 +671,26 @@ def stream_product_scores(spark, sf_dir):
 
 @query
 def stream_enrich_catalog(spark, sf_dir):
-    """Each micro-batch joined to the catalog, which stays a static side."""
+    """Each micro-batch joined to the catalog as it is then."""
     folder = scratch_path(spark, "stream_enrich")
     reviews = events.decode(events.open_envelope(tb.record_stream(spark, sf_dir)))
-    named = ct.enrich_with_catalog(
-        reviews.select("offset", "product_id", "score"), tb.catalog(spark, sf_dir)
+    reviews = reviews.select("offset", "product_id", "score")
+    started = jobs.start_enriched(
+        reviews,
+        lambda: tb.catalog(spark, sf_dir),
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        jobs.AVAILABLE_NOW,
     )
-    _drain(named, "parquet", folder)
-    return spark.read.schema(named.schema).parquet(f"{folder}/out")
+    jobs.finish(started)
+    return spark.read.parquet(f"{folder}/out").drop("batch_id")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every event sent twice; each arrives once."""
+    """Every event sent twice; each with an id arrives once."""
     folder = scratch_path(spark, "stream_dedup")
-    reviews = events.decode(events.open_envelope(tb.record_stream(spark, sf_dir)), "quarantine")
+    reviews = events.decode(events.open_envelope(tb.record_stream(spark, sf_dir)))
     twice = reviews.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     once = dedup.drop_stream_repeats(twice, "kafka_timestamp", "10 minutes")
     with jobs.state_partition_number(spark, spark.sparkContext.defaultParallelism):

@@ -25,6 +25,7 @@ _DIALECTS = {
 HISTORY = """
 SELECT
  CASE WHEN k % 97 = 0 THEN 'n/a' WHEN k % 89 = 0 THEN NULL
+      WHEN k % 103 = 0 THEN CAST(l_orderkey * 10 + l_linenumber AS STRING) || '.0'
       ELSE CAST(l_orderkey * 10 + l_linenumber AS STRING) END AS Id,
  CASE WHEN k % 83 = 0 THEN NULL WHEN k % 79 = 0 THEN '  '
       WHEN l_returnflag = 'R' THEN 'P1'
@@ -36,8 +37,11 @@ SELECT
  CAST(l_linenumber AS STRING) AS HelpfulnessNumerator,
  '7' AS HelpfulnessDenominator,
  CASE WHEN k % 71 = 0 THEN 'oops' WHEN k % 67 = 0 THEN '9' WHEN k % 61 = 0 THEN '2.7'
-      WHEN k % 59 = 0 THEN NULL ELSE CAST(1 + k % 5 AS STRING) END AS Score,
+      WHEN k % 59 = 0 THEN NULL WHEN k % 31 = 0 THEN CAST(1 + k % 5 AS STRING) || '.0'
+      ELSE CAST(1 + k % 5 AS STRING) END AS Score,
  CASE WHEN k % 53 = 0 THEN 'later' WHEN k % 47 = 0 THEN NULL
+      WHEN k % 101 = 0 THEN '999999999999' WHEN k % 107 = 0 THEN '-99999999999999999'
+      WHEN k % 29 = 0 THEN CAST(<ship_seconds> + l_linenumber AS STRING) || '.0'
       ELSE CAST(<ship_seconds> + l_linenumber AS STRING) END AS Time,
  l_linestatus AS Summary,
  CASE WHEN k % 43 = 0 THEN '   ' WHEN k % 41 = 0 THEN NULL
@@ -218,6 +222,10 @@ def kafka_records(events: DataFrame) -> DataFrame:
     damaged = (
         F.when(case == 0, F.lit("garbage"))
         .when(case == 33, F.lit(None))
+        .when(case == 7, F.lit(""))
+        .when(case == 13, F.lit("  "))
+        .when(case == 19, F.lit("{}"))
+        .when(case == 23, F.lit("null"))
         .when(case == 51, F.regexp_replace(value, score, '"score":"$1"'))
         .when(case == 67, F.regexp_replace(value, score, '"score":$1.5'))
         .when(case == 77, F.regexp_replace(value, score + ",", ""))

@@ -9,7 +9,7 @@ from opinlake.plans import dashboard as db
 from opinlake.plans import snapshot
 from opinlake.session import materialize
 from opinlake.sources.history_csv import read_sample_csv
-from opinlake.sources.silver import fetch_one
+from opinlake.sources.silver import MissingLane, fetch_one, read_silver
 from tests.sample import csv_text
 
 
@@ -47,7 +47,7 @@ def as_sets(bundle):
 
 def test_the_cube_gives_what_the_single_reports_give(silver, catalog):
     cube = materialize(db.report_cube(silver), "cube")
-    from_cube = db.dashboard(silver, cube, catalog)
+    from_cube = db.dashboard(cube, db.newest_opinions(silver, catalog), catalog)
     single = db.dashboard_by_report(silver, catalog)
     assert tuple(from_cube) == db.DASHBOARD_REPORTS == tuple(single)
     for name in db.DASHBOARD_REPORTS:
@@ -72,7 +72,7 @@ def test_missing_and_named_unknown_sources_are_one(silver):
 def test_an_empty_lake_gives_a_whole_dashboard(silver):
     empty = silver.where("false")
     cube = materialize(db.report_cube(empty), "cube")
-    bundle = db.dashboard(empty, cube)
+    bundle = db.dashboard(cube, db.newest_opinions(empty))
     assert fetch_one(bundle["summary"]) == {
         "total_reviews": 0,
         "average_score": 0.0,
@@ -87,7 +87,9 @@ def test_an_empty_lake_gives_a_whole_dashboard(silver):
 def test_sample_dashboard_filters_nothing(spark, tmp_path, catalog):
     path = tmp_path / "sample.csv"
     path.write_text(csv_text() + "17,e2e-1,U1,N,1,2,1,1767225600,S,bad\n")
-    bundle = db.sample_dashboard(read_sample_csv(spark, str(path)), catalog)
+    sample = read_sample_csv(spark, str(path))
+    cube = db.report_cube(sample, trusted=True)
+    bundle = db.sample_dashboard(cube, db.sample_newest(sample, catalog), catalog)
     assert tuple(bundle) == db.DASHBOARD_REPORTS
     assert fetch_one(bundle["summary"])["total_reviews"] == 17
     assert [tuple(r) for r in bundle["sources"].collect()] == [("sample_csv", 17)]
@@ -117,6 +119,31 @@ def test_snapshots_are_published_whole(spark, silver, catalog, tmp_path):
     assert envelope["generated_at"] is not None
     stored = snapshot.read_snapshot(spark, layout, first)
     assert as_sets(stored) == as_sets(db.dashboard_by_report(silver, catalog))
+    folder = tmp_path / "lake/gold/dashboard"
+    assert not (folder / f"snapshot_id={first}" / "cube").exists()
+    third = snapshot.publish_snapshot(spark, layout, silver, catalog, keep=2)["snapshot_id"]
+    left = {p.name for p in folder.iterdir() if p.name.startswith("snapshot_id=")}
+    assert left == {f"snapshot_id={second}", f"snapshot_id={third}"}
+    with pytest.raises(ValueError):
+        snapshot.remove_old_snapshots(spark, layout, 0)
+
+
+def test_no_snapshot_of_a_lake_that_is_not_there(spark, silver, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    good = snapshot.publish_snapshot(spark, layout, silver)["snapshot_id"]
+    with pytest.raises(MissingLane):
+        snapshot.publish_snapshot(spark, layout, read_silver(spark, layout))
+    assert fetch_one(snapshot.latest_snapshot(spark, layout))["snapshot_id"] == good
+
+
+def test_texts_are_scanned_by_one_top_k(silver, catalog):
+    """The written list of opinions serves both relations."""
+    cube = materialize(db.report_cube(silver), "cube")
+    newest = materialize(db.newest_opinions(silver, catalog), "newest")
+    bundle = db.dashboard(cube, newest, catalog)
+    for name in ("recent_reviews", "opinions"):
+        plan = bundle[name]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1 and "Join" not in plan
 
 
 def test_a_failed_snapshot_leaves_the_one_before(spark, silver, tmp_path, monkeypatch):

@@ -46,14 +46,21 @@ def test_bad_scores_become_null(spark):
 
 
 def test_quarantine_splits_exactly(spark):
-    values = (json.dumps(WHOLE), "garbage", None, changed(score="4"), without("source"), "[]")
+    values = (
+        json.dumps(WHOLE), "garbage", None, changed(score="4"), without("source"), "[]",
+        "", "  ", "\t\n", "{}", '{"score":5}', "null", changed(text=None), without("created_at"),
+    )
     rows = bronze(spark, *values)
     good = {row.offset for row in events.decode(rows, "quarantine").collect()}
     bad = {row.offset for row in events.undecodable(rows).collect()}
     assert good | bad == set(range(len(values)))
     assert not good & bad
-    assert {0, 4} <= good
-    assert {1, 2, 3} <= bad
+    assert good == {0, 4}
+    reasons = {row.offset: row.reason for row in events.rejected(rows).collect()}
+    assert reasons[2] == "no value"
+    assert {reasons[k] for k in (6, 7, 8)} == {"blank value"}
+    assert (reasons[9], reasons[10]) == ("product_id is missing", "product_id is missing")
+    assert (reasons[12], reasons[13]) == ("text is missing", "created_at is missing")
 
 
 def test_unknown_mode_is_refused(spark):

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from opinlake import schemas
 from opinlake.layout import LakeLayout
@@ -10,6 +11,7 @@ from opinlake.operators import cleaning, dedup
 from opinlake.plans.batch_ingest import ingest_history
 from opinlake.sources.history_csv import read_history_csv, read_sample_csv
 from opinlake.sources.silver import (
+    MissingLane,
     create_external_tables,
     fetch_one,
     fetch_report,
@@ -107,12 +109,91 @@ def test_a_second_run_appends_and_dedup_undoes_it(spark, sample_csv, tmp_path):
     assert dedup.drop_repeats(silver).count() == 16
 
 
-def test_silver_of_an_empty_lake_is_empty(spark, tmp_path):
-    rows = read_silver(spark, LakeLayout(str(tmp_path / "nothing")))
-    assert rows.count() == 0
+def test_missing_lanes_are_errors(spark, sample_csv, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    for lanes, optional in ((["batch"], []), (["batch", "stream"], ["batch", "stream"])):
+        with pytest.raises(MissingLane):
+            read_silver(spark, layout, lanes, optional)
+    ingest_history(read_history_csv(spark, sample_csv), layout)
+    with pytest.raises(MissingLane, match="stream"):
+        read_silver(spark, layout)
+    rows = read_silver(spark, layout, optional=["stream"])
+    assert rows.count() == 16
     assert rows.columns == schemas.SILVER.fieldNames()
 
 
+def test_the_input_is_parsed_once_and_dealt_out_by_time(spark, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    header = csv_text().splitlines()[0]
+    lines = [f"{n},P{n % 3},U1,N,1,2,{1 + n % 5},{1767225600 + n * 977 % 4000},S,text" for n in range(400)]
+    path = tmp_path / "many.csv"
+    path.write_text("\n".join([header, *lines]) + "\n")
+    audit = ingest_history(read_history_csv(spark, str(path)), layout)
+    assert (audit.raw_rows, audit.cleaned_rows, audit.written_rows) == (400, 400, 400)
+    rows = read_silver(spark, layout, ["batch"]).withColumn("file", F.input_file_name())
+    ranges = rows.groupBy("file").agg(F.min("created_at"), F.max("created_at")).collect()
+    spans = sorted((r[1], r[2]) for r in ranges)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_numbers_written_as_doubles_and_rejects(spark):
+    rows = [
+        ("1.0", "P1", "U", "5.0", "1346976000.0", "t"),
+        ("2", "P1", "U", "2.7", "1", "t"),
+        ("3", "P1", "U", "5", "999999999999", "t"),
+        ("4", "P1", "U", "9.0", "1", "t"),
+        ("5", " ", "U", "4", "1", "t"),
+        ("6", "P1", None, "4", "1", "t"),
+        ("x", "P1", "U", "4", "1", "t"),
+        ("7", "P1", "U", "4", "soon", "t"),
+    ]
+    names = "Id string, ProductId string, UserId string, Score string, Time string, Text string"
+    raw = spark.createDataFrame(rows, names)
+    for name in ("ProfileName", "HelpfulnessNumerator", "HelpfulnessDenominator", "Summary"):
+        raw = raw.withColumn(name, F.lit(None).cast("string"))
+    kept = cleaning.history_to_silver(cleaning.clean_history(raw)).collect()
+    assert [(r.review_id, r.score, str(r.created_at)) for r in kept] == [
+        ("1", 5, "2012-09-07 00:00:00")
+    ]
+    reasons = {r.Id: r.reason for r in cleaning.rejected_history(raw).collect()}
+    assert reasons == {
+        "2": "Score is no whole number",
+        "3": "Time is outside the years 1 to 9999",
+        "4": "Score is out of range",
+        "5": "ProductId is blank",
+        "6": "UserId is missing",
+        "x": "Id is no whole number",
+        "7": "Time is no whole number",
+    }
+
+
+def test_dedup_keeps_rows_without_an_id_and_the_earliest(make_silver):
+    from datetime import datetime
+
+    day = lambda n: datetime(2026, 1, n)
+    silver = make_silver(
+        [
+            {"review_id": "a", "source": "web", "created_at": day(3), "text": "late"},
+            {"review_id": "a", "source": "web", "created_at": day(1), "text": "early"},
+            {"review_id": "a", "source": "web", "created_at": None, "text": "no time"},
+            {"review_id": "a", "source": None, "text": "other source"},
+            {"review_id": "a", "source": None, "text": "other source"},
+            {"review_id": None, "source": "web", "text": "one"},
+            {"review_id": None, "source": "web", "text": "one"},
+        ]
+    )
+    once = dedup.drop_repeats(silver)
+    assert once.columns == silver.columns
+    assert sorted(r.text for r in once.collect()) == ["early", "one", "one", "other source"]
+
+
+def test_the_preview_skips_rows_without_an_offset(make_silver, spark):
+    silver = make_silver([{"review_id": str(n), "text": "t"} for n in range(30)])
+    silver = silver.withColumn("offset", F.when(F.col("review_id").cast("int") < 25, F.col("review_id").cast("long")))
+    assert [r.offset for r in silver_preview(silver, 3).collect()] == [24, 23, 22]
+    assert [r.offset for r in silver_preview(silver, 28).collect()][24:] == [0, None, None, None]
+
+
 def test_sample_read_is_strict(spark, sample_csv, tmp_path):
     rows = read_sample_csv(spark, sample_csv)
     assert rows.columns == list(schemas.OPINION_COLUMNS)

@@ -1,4 +1,7 @@
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -97,3 +100,43 @@ def test_few_scan_tasks_are_spread_and_many_are_not(spark, tmp_path):
     assert "Exchange" in spread._jdf.queryExecution().executedPlan().toString()
     untouched = spark.read.parquet(many)
     assert session.spread(untouched) is untouched
+
+
+def test_a_local_cluster_needs_a_shared_folder_too():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster())
+
+
+def test_submitted_settings_win():
+    """In a process of its own, as settings are submitted before there is a session."""
+    code = (
+        "from opinlake.session import build_session\n"
+        "s = build_session('t', 'local[1]', {'spark.ui.enabled': 'false'})\n"
+        "print(s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.files.maxPartitionBytes'))"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    submitted = "--conf spark.sql.shuffle.partitions=64 pyspark-shell"
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True,
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": submitted},
+    )
+    assert done.stdout.split()[-2:] == ["64", "256m"]
+
+
+def test_settings_of_the_file_system_and_offsets():
+    env = {"HDFS_BASE_PATH": "/lake", "HDFS_DEFAULT_FS": "hdfs://names:9000"}
+    assert LakeLayout.from_env(env).default_fs == "hdfs://names:9000"
+    env = {"KAFKA_STARTING_OFFSETS": "earliest", "KAFKA_MAX_OFFSETS_PER_TRIGGER": "500"}
+    settings = StreamSettings.from_env(env)
+    assert (settings.starting_offsets, settings.max_offsets_per_trigger) == ("earliest", 500)
+    assert StreamSettings.from_env({}).max_offsets_per_trigger is None

@@ -275,3 +275,18 @@ def test_averages_of_unscored_products_come_last(make_silver):
     assert [r.product_id for r in top.collect()] == ["P2", "P1"]
     assert [r.product_id for r in worst.collect()] == ["P1", "P2"]
     assert rp.product_stats(silver).where(F.col("average_score").isNull()).count() == 1
+
+
+def test_newest_reviews_reach_back_before_the_year_one(make_silver):
+    """Fewer rows than the limit: none may fall, however early its time."""
+    silver = make_silver(
+        [{"product_id": "P1", "score": 5, "text": f"t{n}", "review_id": str(n)} for n in range(3)]
+    )
+    texts = ["-0004-03-01 00:00:00", "0000-06-01 00:00:00", "2026-01-01 00:00:00"]
+    early = F.element_at(F.array(*map(F.lit, texts)), F.col("review_id").cast("int") + 1)
+    silver = silver.withColumn("created_at", early.cast("timestamp"))
+    for report in (rp.recent_reviews(silver), rp.opinions(silver, 2), rp.dashboard_opinions(silver)):
+        found = [r.review_id for r in report.select("review_id").collect()]
+        assert found == ["2", "1", "0"][: len(found)] and len(found) >= 2
+    assert rp.recent_reviews(silver).count() == 3
+    assert rp.opinions(silver, sentiment="positive").count() == 3

@@ -105,7 +105,7 @@ def test_uncommitted_files_stay_invisible(spark, replay, tmp_path):
     jobs.finish(jobs.start_silver(replay_stream(spark, replay), layout, jobs.AVAILABLE_NOW))
     rows = read_silver(spark, layout, ["stream"])
     rows.write.mode("append").parquet(layout.silver_stream)
-    assert read_silver(spark, layout).count() == 40
+    assert read_silver(spark, layout, optional=["batch"]).count() == 40
 
 
 def test_running_aggregates(spark, replay, tmp_path):
@@ -118,7 +118,7 @@ def test_running_aggregates(spark, replay, tmp_path):
         jobs.finish(
             jobs.start_result_table(relation, out, checkpoint, jobs.AVAILABLE_NOW, 2)
         )
-        result = {tuple(r) for r in jobs.latest_result(spark, out).collect()}
+        result = {tuple(r) for r in jobs.latest_result(spark, out, relation.schema).collect()}
         if name == "sentiment":
             good = [n for n in range(40) if n % 10 != 9]
             assert result == {
@@ -143,7 +143,67 @@ def test_only_two_results_are_kept(spark, replay, tmp_path):
             jobs.sentiment_counts(stream), str(out), str(tmp_path / "c"), jobs.AVAILABLE_NOW, 2
         )
     )
-    assert sorted(p.name for p in out.iterdir()) == ["slot=0", "slot=1"]
+    folders = sorted(p.name for p in out.iterdir() if p.name.startswith("batch_id="))
+    assert len(folders) == 2
+    assert len([p for p in (out / "_published").iterdir() if p.name.isdigit()]) == 2
+
+
+def test_results_are_read_before_during_and_between_micro_batches(spark, replay, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    stream = replay_stream(spark, replay, files_per_trigger=1)
+    counts = jobs.sentiment_counts(stream)
+    assert jobs.latest_result(spark, out, counts.schema).count() == 0
+    query = jobs.start_result_table(counts, out, checkpoint, jobs.AVAILABLE_NOW, 2)
+    totals = []
+    while query.isActive:
+        reader = jobs.latest_result(spark, out, counts.schema)
+        totals.append(reader.agg({"review_count": "sum"}).first()[0] or 0)
+    jobs.finish(query)
+    assert totals == sorted(totals) and set(totals) <= {0, 10, 20, 30, 40}
+    held = jobs.latest_result(spark, out, counts.schema)
+    write(spark, replay, *(record(n) for n in range(40, 50)))
+    again = jobs.sentiment_counts(replay_stream(spark, replay, files_per_trigger=1))
+    jobs.finish(jobs.start_result_table(again, out, checkpoint, jobs.AVAILABLE_NOW, 2))
+    assert held.agg({"review_count": "sum"}).first()[0] == 40
+    newest = jobs.latest_result(spark, out, counts.schema)
+    assert newest.agg({"review_count": "sum"}).first()[0] == 50
+
+
+def test_rejects_are_kept_with_their_reason(spark, replay, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    stream = replay_stream(spark, replay)
+    jobs.finish(
+        jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW, "quarantine"),
+        jobs.start_rejects(stream, layout, jobs.AVAILABLE_NOW),
+    )
+    kept = read_silver(spark, layout, ["stream"]).count()
+    rejects = spark.read.json(layout.bronze_rejected)
+    assert kept == 36 and rejects.count() == 4
+    assert {r.reason for r in rejects.collect()} == {"not the JSON of an event"}
+
+
+def test_products_added_between_micro_batches_are_named(spark, replay, tmp_path):
+    path, out, checkpoint = (str(tmp_path / n) for n in ("catalog", "out", "c"))
+
+    def products(*ids):
+        rows = [(i, f"Name {i}", "c", "d", "u", 1.0, []) for i in ids]
+        spark.createDataFrame(rows, schemas.CATALOG).write.mode("overwrite").parquet(path)
+
+    def run():
+        reviews = events.decode(events.open_envelope(replay_stream(spark, replay)))
+        reviews = reviews.select("offset", "product_id")
+        catalog = lambda: spark.read.schema(schemas.CATALOG).parquet(path)
+        jobs.finish(jobs.start_enriched(reviews, catalog, out, checkpoint, jobs.AVAILABLE_NOW))
+
+    products("P1")
+    run()
+    products("P1", "P2")
+    write(spark, replay, *(record(n) for n in range(40, 49)))
+    run()
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 49
+    named = {(r.product_id, r.offset >= 40) for r in rows if r.product_name}
+    assert named == {("P1", False), ("P1", True), ("P2", True)}
 
 
 def test_session_settings_are_restored(spark):

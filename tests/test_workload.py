@@ -11,6 +11,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as driver  # noqa: E402
 
+from opinlake.workload.oracle import ORACLE  # noqa: E402
+from opinlake.workload.queries import QUERIES  # noqa: E402
+
 DATA = "/root/testdata/sf0.001"
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -39,7 +42,7 @@ def comparable(columns, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
     frame = driver.queries()[name](spark, DATA)
     cursor = duck.execute(driver.oracle_sql()[name])
@@ -51,7 +54,9 @@ def test_query_matches_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
