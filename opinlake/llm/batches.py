@@ -51,15 +51,3 @@ def as_bytes(docs: DataFrame, *keep: str) -> DataFrame:
     """The named columns and the text as UTF-8 bytes, NULL as empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     return docs.select(*keep, text)
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    """No rows, the columns of `df`."""
-    return df.sparkSession.createDataFrame([], df.schema)
-
-
-def delete_path(df: DataFrame, path: str) -> None:
-    """Remove an intermediate table that nothing reads any more."""
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.batches import delete_path
-from opinlake.session import scratch_path
+from opinlake.session import delete_path, scratch_path
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,7 +22,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = _state(current)
     while state[0]:
         following, next_path = _store(_small_star(_large_star(current)))
-        delete_path(current, path)
+        delete_path(current.sparkSession, path)
         before, state = state, _state(following)
         current, path = following, next_path
         if state == before:

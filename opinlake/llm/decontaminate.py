@@ -41,7 +41,8 @@ SLICE_WORDS = 2_000_000  # words of test windows in one pass, some 30 MB in a ta
 GAP = 64  # positions between documents, at least a window and its slack
 
 SEGMENT_SCHEMA = (
-    "doc_ids array<long>, doc_words array<int>, terms array<binary>, counts binary, positions binary"
+    "doc_ids array<long>, text_hashes array<long>, doc_words array<int>, terms array<binary>,"
+    " counts binary, positions binary"
 )
 
 
@@ -73,7 +74,11 @@ def build_index(docs: DataFrame) -> DataFrame:
     """The segments of the positional index, as a written table."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, per_text = cut_words(batch.column(1).to_pylist())
+        import xxhash
+
+        texts = batch.column(1).to_pylist()
+        words, per_text = cut_words(texts)
+        hashes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
         text_of = np.repeat(np.arange(len(per_text)), per_text)
         places = np.arange(len(words)) + GAP * text_of
         codes = words.indices.to_numpy()
@@ -83,12 +88,13 @@ def build_index(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.ListArray.from_arrays([0, batch.num_rows], batch.column(0)),
+                one(hashes, pa.int64()),
                 one(per_text, pa.int32()),
                 pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary),
                 pa.array([counts.astype("<i4").tobytes()], pa.binary()),
                 pa.array([places[order].astype("<i4").tobytes()], pa.binary()),
             ],
-            ["doc_ids", "doc_words", "terms", "counts", "positions"],
+            ["doc_ids", "text_hashes", "doc_words", "terms", "counts", "positions"],
         )
 
     slim = as_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
@@ -161,7 +167,7 @@ def match_segment(
 
 
 def search(index: DataFrame, tests: Windows, slack: int = 0) -> DataFrame:
-    """One row for each document of the index: doc_id, n_words, the merged spans of words inside
+    """One row for each document of the index: doc_id, text_hash, n_words, the merged spans of words inside
     any match (`starts`, `stops`; for proximity the span where the phrase would be), and the items
     that match."""
     shared = index.sparkSession.sparkContext.broadcast(tests)
@@ -172,18 +178,21 @@ def search(index: DataFrame, tests: Windows, slack: int = 0) -> DataFrame:
                 yield _search_segment(batch.slice(k, 1), shared.value, slack)
 
     return index.mapInArrow(
-        run, "doc_id long, n_words long, starts array<int>, stops array<int>, items array<long>"
+        run,
+        "doc_id long, text_hash long, n_words long, starts array<int>, stops array<int>,"
+        " items array<long>",
     )
 
 
 def _search_segment(row: pa.RecordBatch, tests: Windows, slack: int) -> pa.RecordBatch:
-    doc_ids, doc_words = row.column(0).flatten(), row.column(1).flatten().to_numpy()
-    counts = np.frombuffer(row.column(3)[0].as_py(), "<i4").astype(np.int64)
-    positions = np.frombuffer(row.column(4)[0].as_py(), "<i4")
+    doc_ids, hashes = row.column(0).flatten(), row.column(1).flatten()
+    doc_words, terms = row.column(2).flatten().to_numpy(), row.column(3).flatten()
+    counts = np.frombuffer(row.column(4)[0].as_py(), "<i4").astype(np.int64)
+    positions = np.frombuffer(row.column(5)[0].as_py(), "<i4")
     firsts = np.cumsum(doc_words + GAP) - doc_words - GAP
     spans: dict[int, list[tuple[int, int]]] = {}
     items: dict[int, set[int]] = {}
-    for number, length, found in match_segment(row.column(2).flatten(), counts, positions, tests, slack):
+    for number, length, found in match_segment(terms, counts, positions, tests, slack):
         docs = np.searchsorted(firsts, np.maximum(found, 0), "right") - 1
         for doc, start in zip(docs.tolist(), (found - firsts[docs]).tolist(), strict=True):
             span = max(0, start), min(int(doc_words[doc]), start + length)
@@ -194,12 +203,13 @@ def _search_segment(row: pa.RecordBatch, tests: Windows, slack: int) -> pa.Recor
     return pa.RecordBatch.from_arrays(
         [
             doc_ids,
+            hashes,
             pa.array(doc_words, pa.int64()),
             pa.array([[a for a, _ in m] for m in merged], pa.list_(pa.int32())),
             pa.array([[b for _, b in m] for m in merged], pa.list_(pa.int32())),
             pa.array([sorted(items.get(d, ())) for d in range(len(doc_ids))], pa.list_(pa.int64())),
         ],
-        ["doc_id", "n_words", "starts", "stops", "items"],
+        ["doc_id", "text_hash", "n_words", "starts", "stops", "items"],
     )
 
 
@@ -238,7 +248,8 @@ def test_slices(items: DataFrame, window: int = WINDOW, slice_words: int = SLICE
 def find_matches(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, slack: int = 0, slice_words: int = SLICE_WORDS
 ) -> DataFrame:
-    """One row for each document: doc_id, n_words, merged spans (`starts`, `stops`) and items."""
+    """One row for each document: doc_id, text_hash, n_words, merged spans (`starts`, `stops`) and
+    items."""
     if window + slack >= GAP:
         raise ValueError(f"window and slack together must be below {GAP}")
     index = build_index(docs)
@@ -247,20 +258,18 @@ def find_matches(
         return search(index, Windows([], {}, []))
     if len(found) == 1:
         return found[0]
-    # Slices see the documents in the same order, segment by segment: rows are brought together
-    # by id, and rows that share one by their length too, as those of equal texts are equal.
     return _combine(found)
 
 
 def _combine(found: list[DataFrame]) -> DataFrame:
-    """Results of several slices. Rows of a document are numbered within equal (id, n_words), so
-    repeated rows stay apart; what is combined is bounded by the document's own length."""
+    """Results of several slices, brought together by id and text: what is combined is bounded by
+    the document's own length, and rows of equal id and text are counted and given back."""
     whole = None
     for part in found:
         part = materialize(part, "slice_matches")
         whole = part if whole is None else whole.union(part)
     count = F.lit(len(found))
-    merged = whole.groupBy("doc_id", "n_words").agg(
+    merged = whole.groupBy("doc_id", "text_hash", "n_words").agg(
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("stops")).alias("stops"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -269,11 +278,11 @@ def _combine(found: list[DataFrame]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            pairs = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
             spans = [merge_spans(list(zip(a, b, strict=True))) for a, b in pairs]
             columns = list(batch.columns)
-            columns[2] = pa.array([[a for a, _ in s] for s in spans], pa.list_(pa.int32()))
-            columns[3] = pa.array([[b for _, b in s] for s in spans], pa.list_(pa.int32()))
+            columns[3] = pa.array([[a for a, _ in s] for s in spans], pa.list_(pa.int32()))
+            columns[4] = pa.array([[b for _, b in s] for s in spans], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     united = merged.mapInArrow(run, merged.schema)

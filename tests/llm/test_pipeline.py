@@ -1,9 +1,14 @@
+from pathlib import Path
+
 import corpus_pipeline
+import duckdb
 import pytest
 
 from opinlake.llm import bpe, decontaminate, exact_dedup, queries, simhash, toxicity
 from tests.llm.conftest import prose
 
+SMALL = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
@@ -62,6 +67,19 @@ def test_empty_tables(spark, tables, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_its_sql(spark, rows_of, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    cursor = duck.execute(queries.ORACLE[name])
+    columns = [c[0] for c in cursor.description]
+    frame = queries.QUERIES[name](spark, SMALL)
+    assert sorted(frame.columns) == sorted(columns)
+    assert rows_of(frame, *columns) == sorted((tuple(r) for r in cursor.fetchall()), key=repr)
+
+
 def test_queries_are_named_after_their_operators():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
     assert numbers == list(range(1, 11))
