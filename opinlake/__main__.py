@@ -7,6 +7,7 @@ import argparse
 from opinlake.layout import StreamSettings
 from opinlake.operators import reports
 from opinlake.plans import batch_ingest, snapshot
+from opinlake.plans.compaction import compact_stream_lane
 from opinlake.session import lake_session
 from opinlake.sources import events as event_source
 from opinlake.sources.catalog import read_catalog
@@ -73,6 +74,11 @@ def peek_table(options: argparse.Namespace) -> None:
     first_rows(spark, table).show(truncate=False)
 
 
+def compact_silver(_: argparse.Namespace) -> None:
+    spark, layout = lake_session("opinlake-compact")
+    print(f"files: {compact_stream_lane(spark, layout)}")
+
+
 def raw_report(options: argparse.Namespace) -> None:
     """The aggregates over all rows, test products included."""
     spark, layout = lake_session("opinlake-raw-report")
@@ -116,6 +122,7 @@ JOBS = {
     "peek-bronze": peek_bronze,
     "peek-table": peek_table,
     "raw-report": raw_report,
+    "compact-silver": compact_silver,
 }
 
 

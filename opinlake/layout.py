@@ -63,6 +63,10 @@ class LakeLayout:
     def silver_stream(self) -> str:
         return f"{self.silver}/ingest=stream"
 
+    @property
+    def silver_compacted(self) -> str:
+        return f"{self.base}/silver/reviews_compacted"
+
     @property
     def gold(self) -> str:
         return f"{self.base}/gold/dashboard"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinlake import schemas
 from opinlake.functions.times import to_plain_values
 from opinlake.layout import LakeLayout
+from opinlake.plans.compaction import read_stream_lane
 
 
 LANES = ("batch", "stream")
@@ -20,9 +21,11 @@ class MissingLane(FileNotFoundError):
     """A lane of silver that was asked for is not there."""
 
 
-def _lane(spark: SparkSession, path: str) -> DataFrame | None:
+def _lane(spark: SparkSession, layout: LakeLayout, lane: str) -> DataFrame | None:
     try:
-        return spark.read.schema(schemas.SILVER).parquet(path)
+        if lane == "stream":
+            return read_stream_lane(spark, layout)
+        return spark.read.schema(schemas.SILVER).parquet(layout.silver_batch)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -41,10 +44,11 @@ def read_silver(
     lake; lanes named in `optional` are left out instead, but one at least must be there.
 
     Each lane is read from its own folder, which keeps the commit log of the stream's file
-    sink in force: files of unfinished micro-batches stay invisible.
+    sink in force: files of unfinished micro-batches stay invisible. A
+    compacted stream lane is read from its few sorted files and what has come since.
     """
     paths = {"batch": layout.silver_batch, "stream": layout.silver_stream}
-    found = {lane: _lane(spark, paths[lane]) for lane in lanes}
+    found = {lane: _lane(spark, layout, lane) for lane in lanes}
     missing = [lane for lane, rows in found.items() if rows is None and lane not in optional]
     written = [rows for rows in found.values() if rows is not None]
     if missing or not written:

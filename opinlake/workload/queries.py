@@ -16,7 +16,7 @@ from opinlake.layout import LakeLayout
 from opinlake.operators import catalog as ct
 from opinlake.operators import cleaning, dedup, events, quality
 from opinlake.operators import reports as rp
-from opinlake.plans import batch_ingest, snapshot
+from opinlake.plans import batch_ingest, compaction, snapshot
 from opinlake.plans import dashboard as db
 from opinlake.session import apply_lake_settings, materialize, scratch_path, spread
 from opinlake.sources import catalog as catalog_source
@@ -634,6 +634,22 @@ def stream_silver(spark, sf_dir):
     return silver.read_silver(spark, layout, ["stream"])
 
 
+@query
+def silver_compacted(spark, sf_dir):
+    """The stream lane, compacted, with more rows after that."""
+    layout = LakeLayout(scratch_path(spark, "lake"))
+    folder = scratch_path(spark, "replay")
+    records = tb.record_batch(spark, sf_dir)
+    for half in (0, 1):
+        part = records.where(F.col("offset") % 2 == half)
+        part.write.mode("append").parquet(folder)
+        stream = event_source.replay_stream(spark, folder, files_per_trigger=4)
+        jobs.finish(jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW))
+        if half == 0:
+            compaction.compact_stream_lane(spark, layout)
+    return silver.read_silver(spark, layout, ["stream"])
+
+
 @query
 def stream_restart(spark, sf_dir):
     """Run, stop and run again on the same checkpoint: nothing is read twice."""

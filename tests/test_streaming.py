@@ -7,6 +7,7 @@ from opinlake import schemas
 from opinlake.layout import LakeLayout
 from opinlake.operators import catalog as ct
 from opinlake.operators import dedup, events
+from opinlake.plans import compaction
 from opinlake.plans.batch_ingest import ingest_history
 from opinlake.sources.events import bronze_peek, first_messages, replay_stream
 from opinlake.sources.history_csv import read_history_csv
@@ -259,3 +260,34 @@ def test_first_messages(spark, replay):
     rows = first_messages(spark.read.schema(schemas.KAFKA_RECORD).parquet(replay)).collect()
     assert [r.offset for r in rows] == [0, 1, 2, 3, 4]
     assert json.loads(rows[0].json_value)["review_id"] == "r0"
+
+
+def test_compaction_changes_files_and_no_rows(spark, replay, tmp_path, monkeypatch):
+    layout = LakeLayout(str(tmp_path / "lake"))
+
+    def run():
+        stream = replay_stream(spark, replay, files_per_trigger=1)
+        jobs.finish(jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW))
+        return spark.read.parquet(layout.silver_stream)
+
+    lane = run()
+    small = len(lane.inputFiles())
+    assert compaction.compact_stream_lane(spark, layout) == small
+    compacted = read_silver(spark, layout, ["stream"])
+    assert same(compacted, lane) and len(compacted.inputFiles()) < small
+    write(spark, replay, *(record(n) for n in range(40, 50)))
+    lane = run()
+    assert same(read_silver(spark, layout, ["stream"]), lane)
+    assert compaction.covered_share(spark, layout).first().covered == small
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken, pytest.raises(OSError):
+        broken.setattr(compaction, "touch", crash)
+        compaction.compact_stream_lane(spark, layout)
+    assert same(read_silver(spark, layout, ["stream"]), lane)
+    for _ in range(3):
+        assert compaction.compact_stream_lane(spark, layout) == len(lane.inputFiles())
+    assert same(read_silver(spark, layout, ["stream"]), lane)
+    assert len(list((tmp_path / "lake/silver/reviews_compacted/_published").glob("0*"))) == 2
