@@ -7,15 +7,15 @@ only the ones whose first `GRAM` words some other document has at a chosen posit
 
 They are sorted: by ranges over the first words, what follows (`min_words` words), what comes before
 (nearest word first), then the document, so that even thousands of equal suffixes are spread over
-tasks. Each suffix is compared with the nearest one before and after it from another document, and
-the match is extended word by word to the right and to the left. From `min_words` words on it is a
-repeat. Where two parts of the order meet, a run of rows from either side is compared on the driver;
-these are two documents' rows for each part.
+tasks. Each suffix is compared with the nearest one before and after it from another document and
+with those at most `REACH` rows away, and the match is extended word by word to the right and to the
+left. From `min_words` words on it is a repeat. Where two parts of the order meet, some rows from
+either side are compared on the driver: `REACH` rows or one document's for each part.
 
-A suffix is compared with its neighbours, as in any suffix array: they have the longest common
-continuation, and among equal ones the longest common past. A document whose only partner for a
-passage shares less of the continuation than some third text can be missed; the words that the
-neighbours share are always found.
+Neighbours in the order have the longest common continuation, and among equal ones the longest
+common past. What a group of up to `REACH` + 1 suffixes with equal first words shares is all found.
+In a larger group, a document whose only partner shares less of the continuation than more than
+`REACH` other texts can be missed.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z, so marks and
 spacing do not matter. Inputs: NULL and empty texts and texts of fewer words have no repeats. Rows
@@ -39,6 +39,7 @@ from opinlake.session import materialize
 
 MIN_WORDS = 50
 GRAM = 8
+REACH = 16  # rows of the order that a suffix is compared with on either side, besides the nearest
 
 SUFFIX_SCHEMA = "gram long, doc_id long, at int, after binary, before binary"
 MATCH_SCHEMA = "part int, edge int, gram long, doc_id long, at int, after binary, before binary, start int, stop int, other_id long"
@@ -177,31 +178,47 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def neighbour_matches(rows: _Rows, min_words: int) -> tuple[np.ndarray, ...]:
-    """doc_id, start, stop and other document of matches with the nearest other document's row on
-    either side, at least `min_words` long."""
+    """doc_id, start, stop and the smallest other document of each row that has a match of at least
+    `min_words` words with a neighbour.
+
+    Neighbours are the nearest row of another document on either side and all rows of other
+    documents at most `REACH` rows away. Every match of a row holds the row's own place, so together
+    they are one stretch from the farthest start to the farthest stop.
+    """
+    n = len(rows)
+    left_most, right_most = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    partner = np.full(n, np.iinfo(np.int64).max)
+
+    def compare(own: np.ndarray, other: np.ndarray) -> None:
+        fits = (rows.gram[own] == rows.gram[other]) & (rows.doc_id[own] != rows.doc_id[other])
+        own, other = own[fits], other[fits]
+        right = _common(rows.after[own], rows.after[other])
+        left = _common(rows.before[own], rows.before[other])
+        long_ = left + right >= min_words
+        own, other, left, right = own[long_], other[long_], left[long_], right[long_]
+        for mine, theirs in ((own, other), (other, own)):
+            np.maximum.at(left_most, mine, left)
+            np.maximum.at(right_most, mine, right)
+            np.minimum.at(partner, mine, rows.doc_id[theirs])
+
     starts = rows.runs()
-    ends = np.append(starts[1:], len(rows))
-    run = np.searchsorted(starts, np.arange(len(rows)), "right") - 1
-    own = np.concatenate([np.arange(len(rows))] * 2)
+    ends = np.append(starts[1:], n)
+    compare(ends[:-1] - 1, starts[1:])
+    run = np.searchsorted(starts, np.arange(n), "right") - 1
+    own = np.concatenate([np.arange(n)] * 2)
     other = np.concatenate([starts[run] - 1, ends[run]])
-    inside = (other >= 0) & (other < len(rows))
-    own, other = own[inside], other[inside]
-    same = rows.gram[own] == rows.gram[other]
-    own, other = own[same], other[same]
-    right = _common(rows.after[own], rows.after[other])
-    left = _common(rows.before[own], rows.before[other])
-    long_ = left + right >= min_words
-    own, other, left, right = own[long_], other[long_], left[long_], right[long_]
-    # The match belongs to both documents.
-    return tuple(
-        np.concatenate(pair)
-        for pair in (
-            (rows.doc_id[own], rows.doc_id[other]),
-            (rows.at[own] - left, rows.at[other] - left),
-            (rows.at[own] + right, rows.at[other] + right),
-            (rows.doc_id[other], rows.doc_id[own]),
-        )
-    )
+    inside = (other >= 0) & (other < n)
+    compare(own[inside], other[inside])
+    widest = (rows.after.shape[1], rows.before.shape[1])
+    for step in range(1, min(REACH, n - 1) + 1):
+        own = np.arange(n - step)
+        # Rows that have matched as far as they can see gain nothing more.
+        full = (right_most == widest[0]) & (left_most == widest[1])
+        own = own[~(full[own] & full[own + step])]
+        compare(own, own + step)
+    found = np.flatnonzero(right_most)
+    at = rows.at[found]
+    return rows.doc_id[found], at - left_most[found], at + right_most[found], partner[found]
 
 
 def _matches(suffixes: DataFrame, min_words: int) -> DataFrame:
@@ -245,16 +262,15 @@ def _matches(suffixes: DataFrame, min_words: int) -> DataFrame:
             rows = rows if held is None else held.then(rows)
             starts = rows.runs()
             if head and len(starts) > 1:
-                yield edge(part, 0, rows.take(slice(0, starts[1])))
+                yield edge(part, 0, rows.take(slice(0, max(REACH, starts[1]))))
                 head = False
             yield emit(part, neighbour_matches(rows, min_words))
             # The last run may go on, and its first row needs the row before it.
-            held = rows.take(slice(max(0, starts[-1] - 1), None))
+            held = rows.take(slice(max(0, min(starts[-1] - 1, len(rows) - REACH)), None))
         if held is not None:
-            last = held.take(slice(held.runs()[-1], None))
             if head:
-                yield edge(part, 0, last)
-            yield edge(part, 1, last)
+                yield edge(part, 0, held)
+            yield edge(part, 1, held)
 
     return ordered.mapInArrow(run, MATCH_SCHEMA)
 
