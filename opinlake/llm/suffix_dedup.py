@@ -14,8 +14,8 @@ either side are compared on the driver: `REACH` rows or one document's for each
 
 Neighbours in the order have the longest common continuation, and among equal ones the longest
 common past. What a group of up to `REACH` + 1 suffixes with equal first words shares is all found.
-In a larger group, a document whose only partner shares less of the continuation than more than
-`REACH` other texts can be missed.
+The rows of a larger group are also compared in the order of what comes before them, batch by batch;
+there, a document whose only partner is near in neither order can be missed.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z, so marks and
 spacing do not matter. Inputs: NULL and empty texts and texts of fewer words have no repeats. Rows
@@ -40,6 +40,7 @@ from opinlake.session import materialize
 MIN_WORDS = 50
 GRAM = 8
 REACH = 16  # rows of the order that a suffix is compared with on either side, besides the nearest
+PAST_REACH = 4  # and of the order by what comes before, within a batch of a large group
 
 SUFFIX_SCHEMA = "gram long, doc_id long, at int, after binary, before binary"
 MATCH_SCHEMA = "part int, edge int, gram long, doc_id long, at int, after binary, before binary, start int, stop int, other_id long"
@@ -216,6 +217,18 @@ def neighbour_matches(rows: _Rows, min_words: int) -> tuple[np.ndarray, ...]:
         full = (right_most == widest[0]) & (left_most == widest[1])
         own = own[~(full[own] & full[own + step])]
         compare(own, own + step)
+    # In groups that are larger than that, also by what comes before.
+    borders = np.flatnonzero(np.diff(rows.gram)) + 1
+    sizes = np.diff(np.concatenate([[0], borders, [n]]))
+    large = np.flatnonzero(np.repeat(sizes, sizes) > REACH + 1)
+    if len(large):
+        keys = np.concatenate(
+            [rows.gram[large].astype(">i8").view(np.uint8).reshape(-1, 8),
+             np.ascontiguousarray(rows.before[large]).view(np.uint8).reshape(len(large), -1)], axis=1
+        )
+        by_past = large[np.argsort(keys.view(f"S{keys.shape[1]}").ravel(), kind="stable")]
+        for step in range(1, min(PAST_REACH, len(large) - 1) + 1):
+            compare(by_past[:-step], by_past[step:])
     found = np.flatnonzero(right_most)
     at = rows.at[found]
     return rows.doc_id[found], at - left_most[found], at + right_most[found], partner[found]

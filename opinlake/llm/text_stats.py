@@ -23,7 +23,7 @@ STATS = (
 )
 TOXIC_STATS = (
     "lexicon_share", "log_lexicon", "lexicon_distinct", "second_person_share", "addressed_share",
-    "obfuscated_share", "stretched_share", "shouted_share",
+    "shouted_share", "obfuscated_share", "stretched_share",
 )
 
 _LEET = str.maketrans("0134578@$!|+", "oieastbasiit")
@@ -109,6 +109,7 @@ def measure(texts: list[bytes], insult: Callable[[str], bool] | None = None) ->
     ]
     if insult is not None:
         columns += _toxic(texts, joined, firsts, insult)
+        columns += _disguised(texts, words.dictionary.to_pylist(), codes, text_of, n_words, insult)
     return np.column_stack(columns)
 
 
@@ -137,16 +138,28 @@ def _toxic(texts: list[bytes], joined: bytes, firsts: np.ndarray, insult: Callab
     raw = np.frombuffer(joined, np.uint8)
     capital = np.concatenate([[0], np.cumsum(_UPPER[raw])])
     shouted = (capital[stops] - capital[starts] == stops - starts) & (stops - starts >= 4)
-    hidden, stretched = np.zeros(n), np.zeros(n)
-    for k, text in enumerate(texts):
-        lower = text.lower()
-        for piece in _OBFUSCATED.findall(lower):
-            hidden[k] += insult(piece.decode("ascii").translate(_LEET))
-        for piece in _SPACED.findall(lower):
-            hidden[k] += insult(re.sub("[^a-z]", "", piece.decode("ascii")))
-        stretched[k] = len(_STRETCHED.findall(lower))
     return [
         n_hits / n_words, np.log1p(n_hits), count(found.astype(np.int64)), count(text_of[persons]) / n_words,
-        count(text_of[hits[near]]) / n_words, hidden / n_words, stretched / n_words,
-        count(text_of[np.flatnonzero(shouted)]) / n_words,
+        count(text_of[hits[near]]) / n_words, count(text_of[np.flatnonzero(shouted)]) / n_words,
     ]
+
+
+def _disguised(
+    texts: list[bytes], words: list[bytes], codes: np.ndarray, text_of: np.ndarray, n_words: np.ndarray,
+    insult: Callable[[str], bool],
+) -> list[np.ndarray]:
+    """Rates of disguised and of stretched spellings: looked for once in each distinct word, and
+    for letters set apart in the whole text."""
+    hidden, stretched = np.zeros(len(words)), np.zeros(len(words))
+    for k, word in enumerate(words):
+        lower = word.lower()
+        if not lower.isalpha():
+            for piece in _OBFUSCATED.findall(lower):
+                hidden[k] += insult(piece.decode("ascii").translate(_LEET))
+        stretched[k] = len(_STRETCHED.findall(lower))
+    total = np.bincount(text_of, hidden[codes], len(texts))
+    for k, text in enumerate(texts):
+        for piece in _SPACED.findall(text.lower()):
+            total[k] += insult(re.sub("[^a-z]", "", piece.decode("ascii")))
+    safe = np.maximum(n_words, 1)
+    return [total / safe, np.bincount(text_of, stretched[codes], len(texts)) / safe]

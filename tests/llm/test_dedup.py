@@ -173,22 +173,27 @@ def test_components_of_long_paths_and_stars(spark):
 # -- passages
 
 
-def test_repeated_passages(docs, corpus, rows_of, no_docs):
-    words = {i: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").translate(LOWER)) for i, t in corpus if i}
+def repeated_words(corpus):
+    """(doc_id, word) of all words in windows of 50 that some other document has, too."""
+    words = {i: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").translate(LOWER)) for i, t in corpus if i is not None}
     holders = defaultdict(set)
     for i, w in words.items():
         for k in range(len(w) - 49):
             holders[tuple(w[k : k + 50])].add(i)
-    expected = {
+    return {
         (i, p)
         for i, w in words.items()
         for k in range(len(w) - 49)
         if len(holders[tuple(w[k : k + 50])]) > 1
         for p in range(k, k + 50)
     }
+
+
+def test_repeated_passages(docs, corpus, rows_of, no_docs):
     rows = rows_of(suffix_dedup.repeated_passages(docs))
-    assert {(r[0], p) for r in rows for p in range(r[1], r[2])} == expected
+    assert {(r[0], p) for r in rows for p in range(r[1], r[2])} == repeated_words(corpus)
     assert {r[0] for r in rows} == {1, 2, 3, 4, 8, 9}
+    assert all(r[3] == r[2] - r[1] and r[4] != r[0] for r in rows)
     assert suffix_dedup.repeated_passages(no_docs).count() == 0
 
 
@@ -198,7 +203,20 @@ def test_passage_in_many_documents(spark):
     passage = prose(99, 55)
     rows = [(k, f"{prose(1000 + k, k % 30)} {passage} {prose(2000 + k, k % 17)}") for k in range(120)]
     rows += [(k, prose(k, 80)) for k in range(500, 520)]
-    found = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
-    assert [(r["doc_id"], r["start_word"], r["end_word"]) for r in found.orderBy("doc_id").collect()] == [
-        (k, k % 30, k % 30 + 55) for k in range(120)
-    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_dedup.repeated_passages(frame).collect()
+    assert {(r["doc_id"], p) for r in found for p in range(r["start_word"], r["end_word"])} == repeated_words(rows)
+    assert {r["doc_id"] for r in found} == set(range(120))
+
+
+def test_a_partner_that_is_no_nearest_neighbour(spark):
+    """Two documents share what comes before a place; others share more of what follows it."""
+    from tests.llm.conftest import prose
+
+    words = prose(77, 90).split()
+    rows = [(1, " ".join(words[:62])), (2, " ".join(words[:58]) + " " + prose(5, 30))]
+    rows += [(10 + k, f"{prose(300 + k, 40)} {' '.join(words[30:78])} {prose(400 + k, 20)}") for k in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.repeated_passages(frame).collect()
+    assert {(r["doc_id"], p) for r in found for p in range(r["start_word"], r["end_word"])} == repeated_words(rows)
+    assert {r["doc_id"] for r in found} == {1, 2}
