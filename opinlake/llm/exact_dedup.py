@@ -59,9 +59,7 @@ def shared_hashes(chunked: DataFrame, hash_of: Hash) -> DataFrame:
     chunks = chunked.select(F.explode("chunks").alias("chunk"))
     distinct = chunks.groupBy(hash_of(F.col("chunk")).alias("hash"), "chunk").agg(F.count("*").alias("n"))
     # Most hashes have one text: first find the others by number alone.
-    several = distinct.groupBy("hash").agg(
-        F.count("*").alias("texts"), F.min(F.xxhash64("chunk", F.lit(1))).alias("low")
-    )
+    several = distinct.groupBy("hash").agg(F.count("*").alias("texts"))
     shared = materialize(several.where("texts > 1").select("hash"), "shared_hashes")
     if shared.isEmpty():
         return shared.select("hash", F.lit("").alias("chunk"), F.lit(0).alias("ordinal"))

@@ -164,7 +164,7 @@ cc-by-any | cc | hint | (?:under|licen[cs]e:?) cc[ -]by
 cc-any | creative | hint | creative commons(?: licen[cs]e)?
 zlib | zlib | name | zlib(?:/libpng)? licen[cs]e
 zlib | altered | text | altered source versions must be plainly marked as such
-libpng-2.0 | libpng | name | png reference library licen[cs]e
+libpng-2.0 | png | name | png reference library licen[cs]e
 wtfpl | fuck | text | do what the fuck you want to
 wtfpl | wtfpl | hint | wtfpl
 ofl-1.1 | sil | name | sil open font licen[cs]e(?:,? version 1\.1)?
@@ -177,7 +177,8 @@ odbl-1.0 | opendatacommons | url | opendatacommons\.org/licenses/odbl
 ogl-3.0 | government | name | open government licen[cs]e(?: v3\.0)?
 cdla-permissive-2.0 | community | name | community data licen[cs]e agreement[ -–]{1,4}permissive
 cdla-sharing-1.0 | community | name | community data licen[cs]e agreement[ -–]{1,4}sharing
-psf-2.0 | python | name | (?:psf|python software foundation) licen[cs]e(?: agreement)?
+psf-2.0 | psf | name | psf licen[cs]e(?: agreement)?
+psf-2.0 | python | name | python software foundation licen[cs]e(?: agreement)?
 psf-2.0 | python | url | docs\.python\.org/3/license
 ruby | ruby | name | ruby licen[cs]e
 ruby | ruby | text | under the (?:same )?terms (?:as|of) ruby
@@ -210,13 +211,14 @@ ftl | freetype | name | freetype (?:project )?licen[cs]e
 ijg | jpeg | text | this software is based in part on the work of the independent jpeg group
 json | evil | text | the software shall be used for good, not evil
 beerware | beer | text | you can buy me a beer in return
-beerware | beerware | hint | beer-?ware licen[cs]e
+beerware | beerware | hint | beerware licen[cs]e
+beerware | beer | hint | beer-ware licen[cs]e
 qpl-1.0 | public | name | q public licen[cs]e
 sleepycat | sleepycat | name | sleepycat licen[cs]e
 watcom-1.0 | watcom | name | sybase open watcom public licen[cs]e
 nasa-1.3 | nasa | name | nasa open source agreement
 llama | llama | name | llama [234](?:\.\d)? community licen[cs]e
-openrail | openrail | name | (?:bigscience |creativeml )?open ?rail(?:-[ms]{1,2})?(?: licen[cs]e)?
+openrail | open | name | (?:bigscience |creativeml )?open ?rail(?:-[ms]{1,2})?(?: licen[cs]e)?
 bigcode-openrail-m | bigcode | name | bigcode open rail-m
 proprietary | proprietary | text | proprietary and confidential
 proprietary | unauthorized | text | unauthorized (?:copying|use|distribution) of this (?:file|software|material)
@@ -225,7 +227,8 @@ all-rights-reserved | reserved | text | copyright (?:\(c\)|©)? ?(?:\d{4}[-, ]{0
 all-rights-reserved | reserved | hint | all rights reserved
 some-rights-reserved | reserved | hint | some rights reserved
 copyright-notice | copyright | hint | copyright (?:\(c\)|©)? ?\d{4}
-license-any | license | hint | (?:see|read) the (?:accompanying )?(?:file )?(?:license|copying)(?:\.txt|\.md)?
+license-any | license | hint | (?:see|read) the (?:accompanying )?(?:file )?license(?:\.txt|\.md)?
+license-any | copying | hint | (?:see|read) the (?:accompanying )?(?:file )?copying(?:\.txt|\.md)?
 license-any | licensed | hint | licensed under the [a-z]{2,20} licen[cs]e
 """
 

@@ -33,21 +33,17 @@ def base_pattern(phrase: str) -> str:
     return f"(?<!{WORD}){f'[{_APART}]+'.join(letters)}(?!{WORD})"
 
 
-def gate_pattern() -> str:
-    """Some keyword of a rule, or the first word of a base phrase."""
-    return f"(?i)(?<![A-Za-z0-9])(?:{_keywords()})"
-
-
-def _keywords() -> str:
+def keyword_pattern() -> str:
+    """Any keyword of a rule, the longest where several start."""
     found = sorted({r.keyword for r in rules()}, key=lambda k: (-len(k), k))
-    return "|".join(k.replace(".", "\\.") for k in found)
+    return f"(?i)(?<![A-Za-z0-9])(?:{'|'.join(k.replace('.', chr(92) + '.') for k in found)})"
 
 
-# Every rule and base phrase has one of these; few texts of prose do.
+# Whatever a rule or base phrase matches has one of these; few texts of prose do.
 GATE = (
     r"(?i)licen|spdx|gpl|copyright|reserved|general|(?<![a-z0-9])cc[^a-z0-9]|cc0|permi|redist|domain|commons"
     r"|mpl|cddl|eupl|wtfpl|fuck|\.sil\.|evil|beer|confidential|unauth|gfdl|\.org/|\.net/|perl|bsd|mit(?![a-z])"
-    r"|jpeg|openssl|advertis|endors|altered|attribution|consortium|ruby|nasa|rail"
+    r"|copying|jpeg|openssl|advertis|endors|altered|attribution|consortium|ruby|nasa|rail"
 )
 
 
@@ -133,7 +129,7 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     nothing = F.from_json(F.lit("[]"), "array<string>")
     kept = slim.select("doc_id", "text", text.rlike(GATE).alias("gate"))
-    lowered = F.transform(F.regexp_extract_all("text", F.lit(gate_pattern()), F.lit(0)), lambda k: F.lower(k))
+    lowered = F.transform(F.regexp_extract_all("text", F.lit(keyword_pattern()), F.lit(0)), lambda k: F.lower(k))
     kept = kept.withColumn("keywords", F.when(F.col("gate"), F.array_distinct(lowered)).otherwise(nothing))
     none = F.from_json(F.lit("[]"), "array<struct<start:int,stop:int>>")
     for k, (phrase, _) in enumerate(BASE):
