@@ -1,8 +1,7 @@
 """License scan by ordered signature rules, in DataFrame functions alone.
 
-One pass tests every text for words that any notice has. Texts with none are done. From the others
-the keywords of rules are collected, and only rules whose keyword is there run; their matches are
-intervals of characters. Where intervals contain each other, one of a better or equal kind stays
+One pass collects the keywords of rules from every text. Texts with none are done; on the others
+only rules whose keyword is there run, and their matches are intervals of characters. Where intervals contain each other, one of a better or equal kind stays
 and the one inside it falls. All of it happens in the row: nothing is shuffled.
 
 Three base phrases, whose words stand one after the other, are found besides and always count.
@@ -22,6 +21,8 @@ from opinlake.llm.license_rules import CONFIDENCE, KINDS, rules
 
 # Base phrases and their labels: fixed values.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+# A word of each phrase that is a keyword of some rule.
+BASE_KEYWORDS = ("cc", "general", "reserved")
 BASE_CONFIDENCE = 0.4
 
 _APART = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
@@ -34,17 +35,15 @@ def base_pattern(phrase: str) -> str:
 
 
 def keyword_pattern() -> str:
-    """Any keyword of a rule, the longest where several start."""
-    found = sorted({r.keyword for r in rules()}, key=lambda k: (-len(k), k))
-    return f"(?i)(?<![A-Za-z0-9])(?:{'|'.join(k.replace('.', chr(92) + '.') for k in found)})"
-
-
-# Whatever a rule or base phrase matches has one of these; few texts of prose do.
-GATE = (
-    r"(?i)licen|spdx|gpl|copyright|reserved|general|(?<![a-z0-9])cc[^a-z0-9]|cc0|permi|redist|domain|commons"
-    r"|mpl|cddl|eupl|wtfpl|fuck|\.sil\.|evil|beer|confidential|unauth|gfdl|\.org/|\.net/|perl|bsd|mit(?![a-z])"
-    r"|copying|jpeg|openssl|advertis|endors|altered|attribution|consortium|ruby|nasa|rail"
-)
+    """Any keyword of a rule at the start of a word, the longest where several start. Keywords are
+    grouped by their first letter, so at most words one test of a letter ends the attempt. Every base
+    phrase has a keyword of some rule, too."""
+    groups: dict[str, list[str]] = {}
+    for keyword in sorted({r.keyword for r in rules()}, key=lambda k: (-len(k), k)):
+        groups.setdefault(keyword[0], []).append(keyword[1:].replace(".", "\\."))
+    parts = (f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(groups.items()))
+    # Behind a keyword may stand a digit or a letter of `gplv2` and `openrail`, no other letter.
+    return f"(?i)(?<![A-Za-z0-9])(?:{'|'.join(parts)})(?![A-QS-UW-Za-qs-uw-z])"
 
 
 def _rule_table() -> Column:
@@ -128,12 +127,12 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     text = F.col("text")
     nothing = F.from_json(F.lit("[]"), "array<string>")
-    kept = slim.select("doc_id", "text", text.rlike(GATE).alias("gate"))
     lowered = F.transform(F.regexp_extract_all("text", F.lit(keyword_pattern()), F.lit(0)), lambda k: F.lower(k))
-    kept = kept.withColumn("keywords", F.when(F.col("gate"), F.array_distinct(lowered)).otherwise(nothing))
+    kept = slim.select("doc_id", "text", F.array_distinct(lowered).alias("keywords"))
     none = F.from_json(F.lit("[]"), "array<struct<start:int,stop:int>>")
-    for k, (phrase, _) in enumerate(BASE):
-        places = F.when(F.col("gate"), spans(text, F.lit(base_pattern(phrase)))).otherwise(none)
+    for k, ((phrase, _), keyword) in enumerate(zip(BASE, BASE_KEYWORDS, strict=True)):
+        there = F.array_contains("keywords", keyword)
+        places = F.when(there, spans(text, F.lit(base_pattern(phrase)))).otherwise(none)
         kept = kept.withColumn(f"base_{k}", F.transform(places, lambda s: s["start"]))
     settled = F.when(F.size("keywords") > 0, _settled(_detections(text, F.col("keywords"))))
     kept = kept.withColumn("settled", settled)
