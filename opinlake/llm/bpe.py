@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from opinlake.llm.batches import as_bytes, map_slices
 
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 350_000
 NEVER = np.int64(1) << 40
 
 # The vocabulary's word pattern over the characters below `PLAIN_LIMIT` after lower-casing; its
