@@ -14,8 +14,11 @@ either side are compared on the driver: `REACH` rows or one document's for each
 
 Neighbours in the order have the longest common continuation, and among equal ones the longest
 common past. What a group of up to `REACH` + 1 suffixes with equal first words shares is all found.
-The rows of a larger group are also compared in the order of what comes before them, batch by batch;
-there, a document whose only partner is near in neither order can be missed.
+In a larger group a partner may be near in no order, so its suffixes are also searched exactly: each
+of the windows of `min_words` words around the suffix's first words is hashed, and a window that a
+second document has is a repeat. Hashes are counted, with a combine on the map side, not paired.
+Only suffixes go there of which some other document shares the first or the last part that one of
+any such windows must hold.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z, so marks and
 spacing do not matter. Inputs: NULL and empty texts and texts of fewer words have no repeats. Rows
@@ -40,9 +43,9 @@ from opinlake.session import materialize
 MIN_WORDS = 50
 GRAM = 8
 REACH = 16  # rows of the order that a suffix is compared with on either side, besides the nearest
-PAST_REACH = 4  # and of the order by what comes before, within a batch of a large group
+PAST_REACH = 4  # and of the order by what comes before, within a batch of a large group, for longer spans
 
-SUFFIX_SCHEMA = "gram long, doc_id long, at int, after binary, before binary"
+SUFFIX_SCHEMA = "gram long, doc_id long, at int, after binary, before binary, crowded boolean"
 MATCH_SCHEMA = "part int, edge int, gram long, doc_id long, at int, after binary, before binary, start int, stop int, other_id long"
 
 
@@ -77,36 +80,72 @@ def chosen(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     return at, grams[at].view(np.int64)
 
 
+def halves(hashes: np.ndarray, at: np.ndarray, min_words: int) -> tuple[pa.Array, pa.Array]:
+    """Hashes of the words from each position on and of those before it with its gram: a window of
+    `min_words` words that holds the gram holds all words of one of them. NULL beyond the document."""
+    ahead = (min_words + GRAM) // 2
+    behind = min_words - ahead + 1
+
+    def made(first: np.ndarray, size: int, mark: int) -> pa.Array:
+        fits = (first >= 0) & (first + size <= len(hashes))
+        value = np.full(len(first), mark, np.uint64)
+        safe = np.where(fits, first, 0)
+        for k in range(size if fits.any() else 0):
+            value = value * np.uint64(0x9E3779B97F4A7C15) + hashes[safe + k]
+        return pa.array(_mixed(value).view(np.int64), mask=~fits)
+
+    return made(at, ahead, 1), made(at - behind, behind + GRAM, 2)
+
+
 def _documents(docs: DataFrame) -> DataFrame:
     known = docs.where(F.col("doc_id").isNotNull())
     return as_bytes(known.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
 
 
 def minimisers(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, word position and gram of every chosen position."""
+    """doc_id, word position, gram and the hashes of both halves of every chosen position."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column(0).to_pylist()
-        found = [chosen(h, min_words) for h in word_hashes(batch.column(1).to_pylist())]
+        hashed = word_hashes(batch.column(1).to_pylist())
+        found = [chosen(h, min_words) for h in hashed]
+        sides = [halves(h, at, min_words) for h, (at, _) in zip(hashed, found, strict=True)]
         owner = [np.full(len(at), i, np.int64) for i, (at, _) in zip(ids, found, strict=True)]
         columns = [
             pa.array(np.concatenate(owner)),
             pa.array(np.concatenate([a for a, _ in found]).astype(np.int32)),
             pa.array(np.concatenate([g for _, g in found])),
+            pa.concat_arrays([a for a, _ in sides]),
+            pa.concat_arrays([b for _, b in sides]),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "gram"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "gram", "ahead", "behind"])
 
-    return map_slices(_documents(docs), work, "doc_id long, at int, gram long")
+    return map_slices(_documents(docs), work, "doc_id long, at int, gram long, ahead long, behind long")
+
+
+def _crowded(found: DataFrame, grams: DataFrame) -> DataFrame:
+    """doc_id and position of the suffixes of large groups that share one half with another document."""
+    large = found.join(grams.where(F.col("n") > REACH + 1).select("gram"), "gram", "left_semi")
+    sides = large.select("doc_id", "at", F.explode(F.array("ahead", "behind")).alias("half")).where("half IS NOT NULL")
+    shared = sides.groupBy("half").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    return sides.join(shared.where("low < high").select("half"), "half", "left_semi").select("doc_id", "at").distinct()
 
 
 def shared_suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The suffixes whose gram is chosen in at least two documents, with their surroundings."""
     found = materialize(minimisers(docs, min_words), "minimisers")
-    several = found.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    several = several.where("low < high").select("gram")
-    places = found.join(several, "gram", "left_semi").groupBy("doc_id").agg(F.collect_set("at").alias("places"))
-    places = places.select(F.col("doc_id").alias("own_id"), "places")
-    joined = _documents(docs).join(places, F.col("doc_id") == F.col("own_id")).select("doc_id", "text", "places")
+    several = found.groupBy("gram").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")
+    )
+    several = several.where("low < high").select("gram", "n")
+    kept = found.join(several, "gram", "left_semi").select("doc_id", "at", F.lit(False).alias("exact"))
+    kept = kept.union(_crowded(found, several).select("doc_id", "at", F.lit(True)))
+    places = kept.groupBy("doc_id").agg(
+        F.collect_set("at").alias("places"), F.collect_set(F.when(F.col("exact"), F.col("at"))).alias("crowded")
+    )
+    places = places.select(F.col("doc_id").alias("own_id"), "places", "crowded")
+    joined = _documents(docs).join(places, F.col("doc_id") == F.col("own_id"))
+    joined = joined.select("doc_id", "text", "places", "crowded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,12 +157,13 @@ def shared_suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def _surroundings(batch: pa.RecordBatch, min_words: int) -> Iterator[pa.RecordBatch]:
     hashed = word_hashes(batch.column(1).to_pylist())
-    for doc_id, hashes, places in zip(
-        batch.column(0).to_pylist(), hashed, batch.column(2).to_pylist(), strict=True
+    for doc_id, hashes, places, exact in zip(
+        batch.column(0).to_pylist(), hashed, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
     ):
         at, grams = chosen(hashes, min_words)
         keep = np.isin(at, np.array(places, np.int64))
         at, grams = at[keep], grams[keep]
+        crowded = np.isin(at, np.array(exact, np.int64))
         small = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
         edge = np.zeros(min_words, np.uint32)  # beyond the document: equal to nothing
         padded = np.concatenate([edge, small, edge])
@@ -137,8 +177,9 @@ def _surroundings(batch: pa.RecordBatch, min_words: int) -> Iterator[pa.RecordBa
                 [
                     pa.array(grams[part]), pa.array(np.full(size, doc_id, np.int64)),
                     pa.array(at[part].astype(np.int32)), fixed(after[part]), fixed(before[part]),
+                    pa.array(crowded[part]),
                 ],
-                ["gram", "doc_id", "at", "after", "before"],
+                ["gram", "doc_id", "at", "after", "before", "crowded"],
             )
 
 
@@ -309,13 +350,50 @@ def _across_parts(matches: DataFrame, min_words: int) -> list[tuple[int, int, in
     return found
 
 
+def crowded_windows(suffixes: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, start and stop of every window of `min_words` words around the gram of a crowded suffix
+    that some other document has around one, too, and one such document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2048):
+                rows = _Rows.of(batch.slice(first, 2048), min_words)
+                # The words in order; the gram stands in every window.
+                words = np.concatenate([rows.before[:, ::-1], rows.after], axis=1).astype(np.uint64)
+                for start in range(rows.before.shape[1] + 1):
+                    window = words[:, start : start + min_words]
+                    inside = np.flatnonzero((window[:, 0] != 0) & (window[:, -1] != 0))
+                    value = rows.gram[inside].view(np.uint64) + np.uint64(start)
+                    for k in range(min_words):
+                        value = value * np.uint64(0x9E3779B97F4A7C15) + window[inside, k]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(_mixed(value).view(np.int64)), pa.array(rows.doc_id[inside]),
+                            pa.array((rows.at[inside] - rows.before.shape[1] + start).astype(np.int32)),
+                        ],
+                        ["window", "doc_id", "start"],
+                    )
+
+    slim = suffixes.where("crowded").select("gram", "doc_id", "at", "after", "before")
+    windows = slim.mapInArrow(run, "window long, doc_id long, start int")
+    windows = materialize(windows, "crowded_windows")
+    shared = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    found = windows.join(shared.where("low < high"), "window")
+    other = F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    stop = (F.col("start") + min_words).cast("int").alias("stop")
+    return found.select("doc_id", "start", stop, other.alias("other_id"))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, start_word, end_word (exclusive, words from 0) of each maximal stretch made of repeats,
-    its length n_words, and other_id, the smallest document id it was matched with."""
+    its length n_words, and other_id, the smallest id among the documents it was matched with. Not all
+    holders of a window are matched with each other, so a smaller one may exist."""
     if min_words < 2 * GRAM:
         raise ValueError(f"min_words must be at least {2 * GRAM}")
-    matches = materialize(_matches(shared_suffixes(docs, min_words), min_words), "suffix_matches")
+    suffixes = materialize(shared_suffixes(docs, min_words), "suffixes")
+    matches = materialize(_matches(suffixes.drop("crowded"), min_words), "suffix_matches")
     spans = matches.where("edge IS NULL").select("doc_id", "start", "stop", "other_id")
+    spans = spans.union(crowded_windows(suffixes, min_words))
     across = _across_parts(matches, min_words)
     if across:
         more = docs.sparkSession.createDataFrame(across, "doc_id long, start int, stop int, other_id long")
