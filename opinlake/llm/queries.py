@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinlake.llm import (
     bpe,
+    centroid_clusters,
     decontaminate,
     exact_dedup,
     license_scan,
@@ -95,6 +96,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return centroid_clusters.clusters(vectors, centroid_clusters.fit(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -106,10 +112,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_centroids": op11_centroids,
     "pipeline": pipeline,
 }
 
+
+def _centroid_sql(rounds: int = 3) -> str:
+    """Rounds of assigning all to all and of exact means, as a chain of common tables."""
+    apart = "CAST(list_sum(list_transform(range(1, 65), lambda i: (p.v[i] - q.v[i]) * (p.v[i] - q.v[i]))) AS BIGINT)"
+    assigned = f"""SELECT p.row, p.vec_id, p.v, min({{'d': {apart}, 'c': q.c}}) AS near
+  FROM kept p, c{{r}} q GROUP BY p.row, p.vec_id, p.v"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS ({assigned.replace('{r}', str(r))})")
+        steps.append(f"""s{r} AS (
+  SELECT near.c AS c, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT near, v, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY near.c, i)""")
+        steps.append(f"""m{r} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY c)""")
+        steps.append(f"c{r + 1} AS (SELECT q.c, coalesce(m.v, q.v) AS v FROM c{r} q LEFT JOIN m{r} m ON q.c = m.c)")
+    steps.append(f"a{rounds} AS ({assigned.replace('{r}', str(rounds))})")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept
+  WHERE vec_id IS NOT NULL ORDER BY sha256('1:' || vec_id), v LIMIT 16),
+{", ".join(steps)}
+SELECT vec_id, CAST(a.near.c AS INTEGER) AS cluster, a.near.d AS distance,
+       CAST(sum(a.near.d) OVER (PARTITION BY a.near.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.near.d) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(q.v, 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} q ON a.near.c = q.c
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_centroids": _centroid_sql(),
     "op3_exact_dedup": r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars,

@@ -71,7 +71,7 @@ def test_empty_tables(spark, tables, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_its_sql(spark, rows_of, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     cursor = duck.execute(queries.ORACLE[name])
     columns = [c[0] for c in cursor.description]
@@ -82,5 +82,5 @@ def test_query_matches_its_sql(spark, rows_of, name):
 
 def test_queries_are_named_after_their_operators():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 12))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
