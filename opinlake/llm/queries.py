@@ -19,6 +19,7 @@ from opinlake.llm import (
     line_dedup,
     quality_rules,
     simhash,
+    spelling,
     suffix_dedup,
     token_files,
     toxicity,
@@ -101,6 +102,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(vectors, centroid_clusters.fit(vectors))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
     "op11_centroids": op11_centroids,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
 
