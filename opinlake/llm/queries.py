@@ -17,6 +17,7 @@ from opinlake.llm import (
     exact_dedup,
     license_scan,
     line_dedup,
+    pii,
     quality_rules,
     simhash,
     spelling,
@@ -102,6 +103,11 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(vectors, centroid_clusters.fit(vectors))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return pii.span_report(documents, pii.fit(documents))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
     "op11_centroids": op11_centroids,
+    "op12_pii": op12_pii,
     "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
