@@ -10,7 +10,7 @@ classifier learns from the weighted votes.
    a candidate is true. There are at most 3 to the number of labelers patterns a kind, so the counts fit
    the driver however many candidates there are.
 4. A logistic span classifier learns these probabilities from the look of spans and of the characters
-   and words beside them, on at most `limit` candidates, those with the smallest hashes.
+   and words beside them, on at most `limit` distinct candidates, picked by hash.
 
 A candidate that the classifier gives 0.5 or more is a span. The four strict kinds (`BASE`) are spans
 in any case; others that overlap one of these, or a span before them, are left out.
@@ -42,6 +42,7 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "secret")
 MAX_SPANS = 10_000
 THRESHOLD = 0.5
+_SHARES = 1 << 40
 BEFORE, AFTER = 40, 24  # characters around a span that labelers see
 
 Span = tuple[int, int, str]
@@ -394,7 +395,12 @@ def fit(docs: DataFrame, limit: int = MAX_SPANS) -> PiiModel:
     # A row for each kind and vote pattern.
     patterns = voted.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()
     names = ("kind", "value", "before", "after", "votes")
-    sample = voted.orderBy(F.xxhash64(*names), *names).limit(limit).collect()
+    # Repeated candidates are one, and hashes are cut to some times the limit before they are put in
+    # order, so that what all tasks together hand on has a bound, too.
+    total = sum(r["n"] for r in patterns)
+    wanted = min(_SHARES, -(-4 * limit * _SHARES // max(total, 1)))
+    few = voted.where(F.pmod(F.xxhash64(*names), F.lit(_SHARES)) < wanted).select(*names).distinct()
+    sample = few.orderBy(F.xxhash64(*names), *names).limit(limit).collect()
     for path in {f.rsplit("/", 1)[0] for f in voted.inputFiles()}:
         delete_path(docs.sparkSession, path)
     in_numbers = lambda rows: np.array([["-0+".index(c) - 1 for c in r["votes"]] for r in rows]).reshape(-1, len(LABELERS))
