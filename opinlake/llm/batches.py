@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Bytes of text that a task works on at a time. A longer single text is a slice of its own.
 SLICE_BYTES = 4_000_000
@@ -31,7 +32,7 @@ def by_size(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Ite
 def map_slices(
     df: DataFrame,
     work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-    schema: str,
+    schema: str | StructType,
     column: str = "text",
     limit: int = SLICE_BYTES,
 ) -> DataFrame:

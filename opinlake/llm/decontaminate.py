@@ -78,7 +78,8 @@ def build_index(docs: DataFrame) -> DataFrame:
 
         texts = batch.column(1).to_pylist()
         words, per_text = cut_words(texts)
-        hashes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+        # The hash that Spark's xxhash64 makes of the text.
+        hashes = np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
         text_of = np.repeat(np.arange(len(per_text)), per_text)
         places = np.arange(len(words)) + GAP * text_of
         codes = words.indices.to_numpy()
@@ -307,8 +308,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` without the documents that have a test window, all columns as they were.
 
-    Rows without a doc_id cannot be told apart by it, so they all stay.
+    Rows are told apart by id and text, so rows without an id and rows that share one are each decided
+    by their own text.
     """
-    gone = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("_gone"))
-    gone = materialize(gone.distinct(), "contaminated")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    found = find_matches(docs, items, window).where(F.size("starts") > 0)
+    gone = found.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
+    gone = materialize(gone, "contaminated")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    same = (F.xxhash64(text) == F.col("_text")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_gone"))
+    return docs.join(gone, same, "left_anti")

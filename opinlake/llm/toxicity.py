@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.batches import as_bytes, by_size, map_slices
+from opinlake.llm.batches import SLICE_BYTES, as_bytes, by_size, map_slices
 from opinlake.llm.labelled import MAX_LABELLED, fold, labelled_texts
 from opinlake.llm.text_stats import STATS, TOXIC_STATS, measure
 from opinlake.llm.trees import Boosted, boost, isotonic
@@ -152,10 +153,15 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = TH
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the documents that score at least `threshold`, all columns as they were.
+    """`docs` without the rows whose texts score at least `threshold`, all columns as they were.
 
-    Rows without a doc_id cannot be told apart by it, so they all stay.
+    Rows are scored and let through in one pass, each by its own text, whatever its id; nothing is
+    shuffled.
     """
-    scored = score_documents(docs, fit(docs, labels), threshold)
-    gone = materialize(scored.where("predicted = 1").select(F.col("doc_id").alias("_gone")).distinct(), "toxic")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"").to_pylist()
+        return batch.filter(pa.array(shared.value.score(texts) < threshold))
+
+    return map_slices(docs, work, docs.schema, limit=SLICE_BYTES // 2)

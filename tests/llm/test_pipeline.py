@@ -1,11 +1,14 @@
+import re
 from pathlib import Path
 
 import corpus_pipeline
 import duckdb
 import pytest
 
-from opinlake.llm import bpe, decontaminate, exact_dedup, queries, simhash, toxicity
+from opinlake.llm import bpe, queries, toxicity
 from tests.llm.conftest import prose
+from tests.llm.test_filters import words_of
+from tests.llm.test_near_copies import first_of_each
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -20,6 +23,7 @@ def tables(spark, tmp_path_factory):
         rows.append((k, prose(k, 90) + (" you stupid worthless idiot" if toxic else "")))
         labels.append((k, 1, int(toxic)))
     rows += [(300, rows[1][1]), (301, rows[2][1] + "\n"), (302, rows[7][1].replace("the", "teh", 1))]
+    rows += [(310, prose(3000, 80)), (311, prose(3000, 79))]
     rows += [(303, f"{prose(900, 50)} {passage}"), (304, None), (305, ""), (None, "no id")]
     spark.createDataFrame(
         [(i, t, "en", "src0", len(t or "")) for i, t in rows],
@@ -45,20 +49,60 @@ def test_each_stage_decides_on_what_the_one_before_kept(spark, tables):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
-def test_run_equals_the_operators_by_hand(spark, tables, rows_of):
+def without_toxic(spark, rows, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
-    labels = spark.read.parquet(f"{tables}/labels.parquet")
-    items = spark.read.parquet(f"{tables}/benchmark.parquet")
-    model = toxicity.fit(docs, labels)
-    toxic = {r["doc_id"] for r in toxicity.score_documents(docs, model).collect() if r["predicted"]} - {None}
-    left = docs.where(~docs.doc_id.isin(*toxic) | docs.doc_id.isNull())
-    keep = {r["doc_id"] for r in exact_dedup.find_repeats(left).collect() if r["kept"]}
-    left = left.where(left.doc_id.isin(*(keep - {None})) | left.doc_id.isNull())
-    near = {r["doc_id"] for r in simhash.near_duplicates(left).collect() if r["doc_id"] != r["component_id"]}
-    left = left.where(~left.doc_id.isin(*(near - {None}), -1) | left.doc_id.isNull())
-    bad = {r["doc_id"] for r in decontaminate.contamination(left, items).collect() if r["contaminated"]}
-    left = left.where(~left.doc_id.isin(*(bad - {None}), -1) | left.doc_id.isNull())
-    assert rows_of(queries.QUERIES["pipeline"](spark, tables)) == rows_of(bpe.round_trip(left))
+    model = toxicity.fit(docs, spark.read.parquet(f"{tables}/labels.parquet"))
+    return [(i, t) for i, t in rows if model.score([(t or "").encode()])[0] < toxicity.THRESHOLD]
+
+
+def without_copies(rows):
+    """The longest of equal texts, then the smallest id."""
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub("[\\x20\\x09-\\x0D]", "", t or ""), []).append((i, t))
+    return [min(g, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0)) for g in groups.values()]
+
+
+def without_passages(rows, items):
+    """No ten words in a row of an item, or all of a shorter one."""
+    windows = set()
+    for text in items:
+        own = words_of(text)
+        windows |= {tuple(own[k : k + 10]) for k in range(max(1, len(own) - 9) if own else 0)}
+    sizes = {len(w) for w in windows}
+
+    def clean(text):
+        own = words_of(text)
+        return not any(tuple(own[k : k + n]) in windows for n in sizes for k in range(len(own) - n + 1))
+
+    return [(i, t) for i, t in rows if clean(t)]
+
+
+def test_run_equals_the_definitions(spark, tables, rows_of):
+    """Every stage by its definition over all rows, near copies over all pairs of five-word shingle sets."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tables}/documents.parquet").collect()]
+    items = [r["text"] for r in spark.read.parquet(f"{tables}/benchmark.parquet").collect()]
+    left = without_toxic(spark, rows, tables)
+    left = without_copies(left)
+    near = first_of_each(left)
+    assert {i for i, _ in left} - {i for i, _ in near} == {302, 311}
+    left = without_passages(near, items)
+    assert {i for i, _ in near} - {i for i, _ in left} == {303}
+    expected = bpe.round_trip(spark.createDataFrame(left, "doc_id long, text string"))
+    assert rows_of(queries.QUERIES["pipeline"](spark, tables)) == rows_of(expected)
+
+
+def test_rows_of_one_id_or_none_are_decided_by_their_own_text(spark, tables):
+    passage = spark.read.parquet(f"{tables}/benchmark.parquet").first()["text"]
+    insult = prose(60, 90) + " you stupid worthless idiot"
+    rows = [(None, passage), (1, passage), (1, prose(61, 40)), (None, prose(62, 40)), (None, insult), (400, insult), (400, prose(63, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.remove_contaminated(spark, docs, tables).collect()}
+    assert kept == set(rows[2:])
+    known = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+    kept = corpus_pipeline.remove_toxic(spark, known.unionAll(docs.where("doc_id IS NULL OR doc_id = 400")), tables)
+    kept = {r["text"] for r in kept.collect()}
+    assert insult not in kept and {rows[3][1], rows[6][1], passage} <= kept
 
 
 def test_empty_tables(spark, tables, tmp_path):
