@@ -10,6 +10,7 @@ from opinlake import schemas
 from opinlake.functions import text as tx
 from opinlake.functions.review import enrich
 from opinlake.functions.times import from_epoch_seconds
+from opinlake.sources.split_csv import read_split_csv
 
 # Fixed value: the source label of sample rows.
 SAMPLE_SOURCE = "sample_csv"
@@ -24,13 +25,25 @@ def _csv_reader(spark: SparkSession, schema: StructType, multi_line: bool):
     )
 
 
-def read_history_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _has_large_file(spark: SparkSession, path: str) -> bool:
+    """Whether a file is larger than what a task should read. Only names and sizes are looked at."""
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return (sizes[0] or 0) > most
+
+
+def read_history_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, split: bool | None = None
+) -> DataFrame:
     """Raw rows, every column as text.
 
-    With `multi_line` quoted fields may hold line breaks; Spark then cannot split a file,
-    so the number of files is the parallelism: export into many. Files without such fields
-    can be read with `multi_line=False` and split freely.
+    With `multi_line` quoted fields may hold line breaks. Files larger than a task's share are then
+    read in parts (see `split_csv`), others by one task each; `split` settles it by hand. Files
+    without such fields can be read with `multi_line=False` and split freely.
     """
+    if multi_line and (_has_large_file(spark, path) if split is None else split):
+        return read_split_csv(spark, path, schemas.HISTORY_CSV)
     return _csv_reader(spark, schemas.HISTORY_CSV, multi_line).csv(path)
 
 

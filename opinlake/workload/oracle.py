@@ -178,7 +178,8 @@ _VIEWS = {
         " make_timestamp(CAST(Time AS BIGINT) * 1000000) AS created_at FROM typed"
     ),
     "typed": (
-        "SELECT * FROM cleaned WHERE Score NOT LIKE '%.%' AND Time NOT LIKE '%.%'"
+        "SELECT * REPLACE (split_part(Score, '.', 1) AS Score, split_part(Time, '.', 1) AS Time)"
+        " FROM cleaned"
     ),
     "sample_reviews": f"SELECT *, {_enriched(WORD_COUNT_STRICT)} FROM sample",
 }
@@ -494,6 +495,7 @@ def _counted_named(body: str) -> str:
 ORACLE: dict[str, str] = {
     # sources
     "csv_scan": _HISTORY,
+    "csv_scan_split": _HISTORY,
     "sample_scan": _with("sample_reviews", f"SELECT {OPINION_COLUMNS} FROM sample_reviews"),
     "silver_scan": _BOTH_SILVER,
     "external_table": _BOTH_SILVER,

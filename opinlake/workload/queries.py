@@ -80,8 +80,11 @@ def sample_csv_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> str:
         # A strict read insists on plain integers.
-        rows = cleaning.clean_history(history(spark, sf_dir))
-        rows = rows.where(~F.contains(F.col("Score"), F.lit(".")) & ~F.contains(F.col("Time"), F.lit(".")))
+        plain = {
+            name: cleaning.whole_number(F.col(name), kind).cast("string")
+            for name, kind in (("Score", "int"), ("Time", "bigint"))
+        }
+        rows = cleaning.clean_history(history(spark, sf_dir)).withColumns(plain)
         tb.write_history_csv(rows, path)
         return path
 
@@ -114,6 +117,18 @@ def csv_scan(spark, sf_dir):
     return history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
 
 
+@query
+def csv_scan_split(spark, sf_dir):
+    """The same rows exported as one file, which many tasks read."""
+
+    def write(path: str) -> str:
+        tb.write_history_csv(history(spark, sf_dir).coalesce(1), path)
+        return path
+
+    folder = _once(spark, sf_dir, "history_one_csv", write)
+    return history_csv.read_history_csv(spark, folder, split=True)
+
+
 @query
 def sample_scan(spark, sf_dir):
     return history_csv.read_sample_csv(spark, sample_csv_folder(spark, sf_dir))
