@@ -101,6 +101,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--database", default="reviews")
     parser.add_argument("--table", default="reviews_enriched")
     parser.add_argument("--catalog", help="path of the product catalog (Parquet)")
+    parser.add_argument("--load-id", help="id of a load, to repeat it if it fails")
     parser.add_argument("--keep", type=int, help="snapshots to keep, all if not given")
     names = {"type": lambda text: text.split(","), "metavar": "LANE[,LANE]"}
     parser.add_argument("--lanes", default=["batch", "stream"], help="lanes of silver", **names)
@@ -111,7 +112,7 @@ def main(arguments: list[str] | None = None) -> None:
 
 
 JOBS = {
-    "ingest-history": lambda _: batch_ingest.main(),
+    "ingest-history": lambda options: batch_ingest.main(options.load_id),
     "write-lake": lambda _: jobs.run_lake_writer(),
     "show-reviews": lambda _: jobs.run_console_reviews(),
     "show-reports": lambda _: jobs.run_console_reports(),

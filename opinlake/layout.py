@@ -67,6 +67,10 @@ class LakeLayout:
     def silver_compacted(self) -> str:
         return f"{self.base}/silver/reviews_compacted"
 
+    @property
+    def loads(self) -> str:
+        return f"{self.base}/loads"
+
     @property
     def gold(self) -> str:
         return f"{self.base}/gold/dashboard"

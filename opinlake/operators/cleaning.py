@@ -23,9 +23,15 @@ NONBLANK_COLUMNS = ("ProductId", "UserId", "Text")
 def whole_number(text: Column, kind: str) -> Column:
     """The number in the text, or NULL when it is none, has a fraction or does not fit. `5.0`
     is the whole number 5: exports write columns that once had a gap as doubles. A plain cast
-    would end the job at the first bad value."""
+    would end the job at the first bad value. Only what is no plain integer is tried as a decimal."""
     number = text.try_cast("decimal(38,18)")
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    whole = F.when(number == F.floor(number), number.try_cast(kind))
+    return F.coalesce(text.try_cast(kind), whole)
+
+
+def created_at() -> Column:
+    """The instant of a historical row."""
+    return from_epoch_seconds(whole_number(F.col("Time"), "bigint"))
 
 
 def keep_required(raw: DataFrame) -> DataFrame:
@@ -45,7 +51,7 @@ def keep_in_range(raw: DataFrame) -> DataFrame:
     return raw.where(
         score.between(LOWEST_SCORE, HIGHEST_SCORE)
         & whole_number(F.col("Id"), "bigint").isNotNull()
-        & from_epoch_seconds(whole_number(F.col("Time"), "bigint")).isNotNull()
+        & created_at().isNotNull()
     )
 
 
@@ -84,7 +90,7 @@ def history_to_silver(cleaned: DataFrame) -> DataFrame:
         "text": F.col("Text"),
         "source": F.lit(HISTORY_SOURCE),
         "review_id": whole_number(F.col("Id"), "bigint").cast("string"),
-        "created_at": from_epoch_seconds(whole_number(F.col("Time"), "bigint")),
+        "created_at": created_at(),
     }
     enriched = enrich(cleaned.select(*(value.alias(name) for name, value in values.items())))
     present = set(enriched.columns)

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from opinlake import schemas
 from opinlake.layout import LakeLayout, history_csv_path
-from opinlake.operators.cleaning import clean_history, history_to_silver
-from opinlake.session import lake_session, materialize
+from opinlake.operators.cleaning import clean_history, created_at, history_to_silver
+from opinlake.plans.loads import AUDIT_SCHEMA, folder_of, load_name, publish_load, published_loads
+from opinlake.session import lake_session
 from opinlake.sources.history_csv import read_history_csv
 
 
@@ -22,39 +24,51 @@ class IngestAudit:
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
             [(self.raw_rows, self.cleaned_rows, self.written_rows)],
-            "raw_rows bigint, cleaned_rows bigint, written_rows bigint",
+            AUDIT_SCHEMA,
         )
 
 
-def ingest_history(raw: DataFrame, layout: LakeLayout) -> IngestAudit:
-    """Append cleaned rows to bronze and enriched rows to silver.
+def ingest_history(raw: DataFrame, layout: LakeLayout, load_id: str | None = None) -> IngestAudit:
+    """Add a load: cleaned rows to bronze and enriched rows to silver, visible together.
 
-    The input is parsed once: its cleaned rows are kept as a table in the shared folder, and
-    both sinks are written from there. Silver is dealt out by ranges of time, so a file holds a
-    stretch of it and reports on the newest reviews skip the other files; how many files that
-    makes is left to adaptive execution.
+    A load that failed is repeated with its `load_id` and leaves no row twice; one that is visible
+    already is not done again, its audit is returned. Without an id every call is a new load.
+
+    The input is parsed once. Bronze is the stored copy of its cleaned rows; silver is made from
+    there. Rows are dealt out by ranges of time before they are enriched, as the ranges are found by
+    a look at all rows: so a file holds a stretch of time, reports on the newest reviews skip the
+    other files, and texts are measured once. How many files that makes is left to adaptive execution.
 
     The three counts are observed on the way, so auditing reads nothing twice. A lost executor
-    costs its tasks, and files appear when a job commits. A load that dies between the two sinks
-    has to be cleared from bronze or taken out by `dedup.drop_repeats` before it is repeated.
+    costs its tasks.
     """
+    spark, load = raw.sparkSession, load_name(load_id)
+    audits = f"{layout.loads}/audits"
+    if load in published_loads(spark, layout):
+        done = spark.read.schema(AUDIT_SCHEMA).json(folder_of(audits, load)).first()
+        return IngestAudit(*done)
     counts = {name: Observation(name) for name in ("raw", "cleaned", "written")}
 
     def observed(rows: DataFrame, name: str) -> DataFrame:
         return rows.observe(counts[name], F.count(F.lit(1)).alias("rows"))
 
-    cleaned = materialize(observed(clean_history(observed(raw, "raw")), "cleaned"), "cleaned")
-    cleaned.write.mode("append").json(layout.bronze_batch)
-    silver = history_to_silver(cleaned)
-    by_time = silver.repartitionByRange("created_at").sortWithinPartitions("created_at")
-    observed(by_time, "written").write.mode("append").parquet(layout.silver_batch)
-    return IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
+    bronze, silver = folder_of(layout.bronze_batch, load), folder_of(layout.silver_batch, load)
+    cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
+    cleaned.write.mode("overwrite").json(bronze)
+    stored = spark.read.schema(schemas.HISTORY_CSV).json(bronze)
+    at = stored.withColumn("_at", created_at())
+    by_time = at.repartitionByRange("_at").sortWithinPartitions("_at").drop("_at")
+    observed(history_to_silver(by_time), "written").write.mode("overwrite").parquet(silver)
+    audit = IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
+    audit.to_frame(spark).coalesce(1).write.mode("overwrite").json(folder_of(audits, load))
+    publish_load(spark, layout, load)
+    return audit
 
 
-def main() -> None:
+def main(load_id: str | None = None) -> None:
     spark, layout = lake_session("opinlake-history")
     path = history_csv_path()
-    audit = ingest_history(read_history_csv(spark, path), layout)
+    audit = ingest_history(read_history_csv(spark, path), layout, load_id)
     print(f"{path}: {audit}")
     spark.stop()
 

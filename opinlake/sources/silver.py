@@ -12,6 +12,7 @@ from opinlake import schemas
 from opinlake.functions.times import to_plain_values
 from opinlake.layout import LakeLayout
 from opinlake.plans.compaction import read_stream_lane
+from opinlake.plans.loads import published_loads, read_loads
 
 
 LANES = ("batch", "stream")
@@ -25,7 +26,7 @@ def _lane(spark: SparkSession, layout: LakeLayout, lane: str) -> DataFrame | Non
     try:
         if lane == "stream":
             return read_stream_lane(spark, layout)
-        return spark.read.schema(schemas.SILVER).parquet(layout.silver_batch)
+        return read_loads(spark, layout)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -44,8 +45,8 @@ def read_silver(
     lake; lanes named in `optional` are left out instead, but one at least must be there.
 
     Each lane is read from its own folder, which keeps the commit log of the stream's file
-    sink in force: files of unfinished micro-batches stay invisible. A
-    compacted stream lane is read from its few sorted files and what has come since.
+    sink in force: files of unfinished micro-batches stay invisible. So do loads that have not come
+    to their end. A compacted stream lane is read from its sorted files and what has come since.
     """
     paths = {"batch": layout.silver_batch, "stream": layout.silver_stream}
     found = {lane: _lane(spark, layout, lane) for lane in lanes}
@@ -68,22 +69,34 @@ def union_lanes(first: DataFrame, *others: DataFrame) -> DataFrame:
 def create_external_tables(
     spark: SparkSession, layout: LakeLayout, database: str, view: str = "reviews_enriched"
 ) -> str:
-    """One external table per lane and a view over both; returns the name of the view.
+    """An external table and a view of its visible rows for each lane, and a view over both; returns
+    the name of the latter.
 
     Dropping and creating again changes only the catalog, never the files. A lane not yet
-    written is an empty table. Spark remembers the files of a table: after further loads
-    refresh it (`REFRESH TABLE`) or create it again.
+    written is an empty table. The views hold the loads that are visible now: after further
+    loads create them again (and `REFRESH TABLE` the stream's).
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{layout.base}/{database}.db'")
     columns = schemas.SILVER.toDDL()
-    tables = []
-    for lane, path in (("batch", layout.silver_batch), ("stream", layout.silver_stream)):
-        table = f"{database}.{view}_{lane}"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET LOCATION '{path}'")
-        tables.append(table)
     names = ", ".join(f"`{name}`" for name in schemas.SILVER.fieldNames())
-    union = " UNION ALL ".join(f"SELECT {names} FROM {table}" for table in tables)
+    loads = published_loads(spark, layout)
+    kept = f"load IN ({', '.join(repr(load) for load in loads)})" if loads else "false"
+    lanes = {
+        "batch": (layout.silver_batch, f"{columns}, load STRING", "PARTITIONED BY (load)", kept),
+        "stream": (layout.silver_stream, columns, "", "true"),
+    }
+    parts = []
+    for lane, (path, fields, partitioned, shown) in lanes.items():
+        files, part = f"{database}.{view}_{lane}_files", f"{database}.{view}_{lane}"
+        spark.sql(f"DROP TABLE IF EXISTS {files}")
+        spark.sql(f"CREATE TABLE {files} ({fields}) USING PARQUET {partitioned} LOCATION '{path}'")
+        if partitioned and loads:
+            # The catalog keeps the list of partitions: visible loads only.
+            listed = " ".join(f"PARTITION (load={load!r})" for load in loads)
+            spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {listed}")
+        spark.sql(f"CREATE OR REPLACE VIEW {part} AS SELECT {names} FROM {files} WHERE {shown}")
+        parts.append(part)
+    union = " UNION ALL ".join(f"SELECT {names} FROM {part}" for part in parts)
     name = f"{database}.{view}"
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {union}")
     return name

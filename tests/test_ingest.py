@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinlake import schemas
 from opinlake.layout import LakeLayout
 from opinlake.operators import cleaning, dedup
+from opinlake.plans import batch_ingest, loads
 from opinlake.plans.batch_ingest import ingest_history
 from opinlake.sources.history_csv import read_history_csv, read_sample_csv
 from opinlake.sources.silver import (
@@ -226,3 +227,55 @@ def test_external_tables(spark, sample_csv, tmp_path):
     assert len(fetch_report(spark.table(view), 16)) == 16
     with pytest.raises(ValueError):
         fetch_report(spark.table(view), 15)
+
+
+@pytest.mark.parametrize("dies_at", ["silver", "audit", "marker"])
+def test_a_load_that_dies_is_repeated_and_leaves_no_row_twice(
+    spark, sample_csv, tmp_path, monkeypatch, dies_at
+):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    raw_rows = read_history_csv(spark, sample_csv)
+    first = ingest_history(raw_rows, layout, "day-1")
+
+    def crash(*_):
+        raise OSError("lost")
+
+    broken = {
+        "silver": (batch_ingest, "history_to_silver"),
+        "audit": (batch_ingest.IngestAudit, "to_frame"),
+        "marker": (batch_ingest, "publish_load"),
+    }[dies_at]
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(*broken, crash)
+        ingest_history(raw_rows, layout, "day-2")
+    # Whatever it has left, readers see the load before it only.
+    view = create_external_tables(spark, layout, f"shop_{dies_at}")
+    assert read_silver(spark, layout, ["batch"]).count() == spark.table(view).count() == 16
+    assert loads.load_audits(spark, layout).count() == 1
+    for _ in range(2):
+        assert ingest_history(raw_rows, layout, "day-2") == first
+    silver = read_silver(spark, layout, ["batch"])
+    assert silver.columns == schemas.SILVER.fieldNames() and silver.count() == 32
+    view = create_external_tables(spark, layout, f"shop_{dies_at}")
+    assert spark.table(view).count() == 32
+    assert spark.read.json(layout.bronze_batch).count() == 32
+    audits = {r.load: r.written_rows for r in loads.load_audits(spark, layout).collect()}
+    assert audits == {"day-1": 16, "day-2": 16}
+
+
+def test_load_ids_are_names(spark, sample_csv, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    for bad in ("", "a/b", "..", "x=1"):
+        with pytest.raises(ValueError):
+            ingest_history(read_history_csv(spark, sample_csv), layout, bad)
+    assert loads.load_audits(spark, layout).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [("5", 5), ("5.0", 5), (" 7 ", 7), ("+3", 3), ("2.7", None), ("1e3", 1000), ("", None),
+     ("oops", None), ("9" * 30, None), ("-4.000", -4), (None, None), ("4.", 4)],
+)
+def test_whole_numbers(spark, text, number):
+    row = spark.createDataFrame([(text,)], "t string").select(cleaning.whole_number(F.col("t"), "bigint"))
+    assert row.first()[0] == number
