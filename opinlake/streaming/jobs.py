@@ -58,9 +58,16 @@ def product_scores(records: DataFrame) -> DataFrame:
 
 
 def start_file_sink(
-    rows: DataFrame, fmt: str, path: str, checkpoint: str, trigger: dict, name: str | None = None
+    rows: DataFrame,
+    fmt: str,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    name: str | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append files, each micro-batch committed as a whole to the folder's log."""
+    """Append files, each micro-batch committed as a whole to the folder's log. Files older than
+    `retention` leave the log some time."""
     writer = (
         rows.writeStream.format(fmt)
         .outputMode("append")
@@ -70,6 +77,8 @@ def start_file_sink(
     )
     if fmt == "json":
         writer = writer.options(**schemas.JSON_OPTIONS)
+    if retention:
+        writer = writer.option("retention", retention)
     return (writer.queryName(name) if name else writer).start()
 
 
@@ -86,9 +95,14 @@ def start_bronze(records: DataFrame, layout: LakeLayout, trigger: dict) -> Strea
 
 
 def start_silver(
-    records: DataFrame, layout: LakeLayout, trigger: dict, on_bad: str = "keep"
+    records: DataFrame,
+    layout: LakeLayout,
+    trigger: dict,
+    on_bad: str = "keep",
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Enriched reviews into the stream lane of silver."""
+    """Enriched reviews into the stream lane of silver. With a `retention`, compact the lane more often
+    than that."""
     return start_file_sink(
         events_to_silver(records, on_bad),
         "parquet",
@@ -96,6 +110,7 @@ def start_silver(
         layout.checkpoint(SILVER_CHECKPOINT),
         trigger,
         SILVER_QUERY,
+        retention,
     )
 
 

@@ -291,3 +291,52 @@ def test_compaction_changes_files_and_no_rows(spark, replay, tmp_path, monkeypat
         assert compaction.compact_stream_lane(spark, layout) == len(lane.inputFiles())
     assert same(read_silver(spark, layout, ["stream"]), lane)
     assert len(list((tmp_path / "lake/silver/reviews_compacted/_published").glob("0*"))) == 2
+
+
+def _grow(spark, folder, layout, numbers, **options):
+    write(spark, folder, *(record(n) for n in numbers))
+    stream = replay_stream(spark, folder, files_per_trigger=1)
+    jobs.finish(jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW, **options))
+
+
+def test_compactions_rewrite_a_row_once_for_each_level(spark, tmp_path, monkeypatch):
+    layout, folder = LakeLayout(str(tmp_path / "lake")), str(tmp_path / "replay")
+    written = []
+    plain = compaction._rows
+    monkeypatch.setattr(compaction, "_rows", lambda *a: written.append(plain(*a).count()) or plain(*a))
+    levels = []
+    for step in range(9):
+        _grow(spark, folder, layout, range(step * 10, step * 10 + 10))
+        compaction.compact_stream_lane(spark, layout, fanout=3)
+        levels.append(sorted(r.level for r in compaction.current_runs(spark, layout)))
+    assert levels == [[0], [0, 0], [1], [0, 1], [0, 0, 1], [1, 1], [0, 1, 1], [0, 0, 1, 1], [2]]
+    # Nine loads of 10 rows: 10 each, or 30 or 90 where a level is full; rewriting all would be 450.
+    assert written == [10, 10, 30, 10, 10, 30, 10, 10, 90]
+    sizes = compaction.run_sizes(spark, layout).collect()
+    assert [(r.level, r.rows) for r in sizes] == [(2, 90)]
+    monkeypatch.undo()
+    lane = spark.read.parquet(layout.silver_stream)
+    assert same(read_silver(spark, layout, ["stream"]), lane) and lane.count() == 90
+    folders = set(p.name for p in (tmp_path / "lake/silver/reviews_compacted/runs").iterdir())
+    kept = {r.run for r in compaction.current_runs(spark, layout)}
+    assert kept <= folders and len(folders) <= 5
+
+
+def test_rows_stay_when_the_sink_drops_their_files(spark, tmp_path):
+    import time
+
+    layout, folder = LakeLayout(str(tmp_path / "lake")), str(tmp_path / "replay")
+    spark.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "2")
+    try:
+        dropped = False
+        for step in range(5):
+            _grow(spark, folder, layout, range(step * 10, step * 10 + 10), retention="1s")
+            compaction.compact_stream_lane(spark, layout, fanout=3)
+            time.sleep(1.2)
+            listed = len(spark.read.parquet(layout.silver_stream).inputFiles())
+            dropped = dropped or listed < step + 1
+            assert read_silver(spark, layout, ["stream"]).count() == step * 10 + 10
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSink.log.compactInterval")
+    assert dropped
+    assert read_silver(spark, layout, ["stream"]).select("offset").distinct().count() == 50
