@@ -6,7 +6,7 @@ import argparse
 
 from opinlake.layout import StreamSettings
 from opinlake.operators import reports
-from opinlake.plans import batch_ingest, snapshot
+from opinlake.plans import batch_ingest, partials, snapshot
 from opinlake.plans.compaction import compact_stream_lane
 from opinlake.session import lake_session
 from opinlake.sources import events as event_source
@@ -79,6 +79,11 @@ def compact_silver(_: argparse.Namespace) -> None:
     print(f"files: {compact_stream_lane(spark, layout)}")
 
 
+def refresh_partials(_: argparse.Namespace) -> None:
+    spark, layout = lake_session("opinlake-partials")
+    print(f"units: {partials.refresh_partials(spark, layout)}")
+
+
 def raw_report(options: argparse.Namespace) -> None:
     """The aggregates over all rows, test products included."""
     spark, layout = lake_session("opinlake-raw-report")
@@ -124,6 +129,7 @@ JOBS = {
     "peek-table": peek_table,
     "raw-report": raw_report,
     "compact-silver": compact_silver,
+    "refresh-partials": refresh_partials,
 }
 
 

@@ -71,6 +71,10 @@ class LakeLayout:
     def loads(self) -> str:
         return f"{self.base}/loads"
 
+    @property
+    def partials(self) -> str:
+        return f"{self.base}/gold/partials"
+
     @property
     def gold(self) -> str:
         return f"{self.base}/gold/dashboard"

@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,9 +115,14 @@ def compact_stream_lane(
     return len(files)
 
 
+def held_runs(spark: SparkSession, layout: LakeLayout, keep: int | None = None) -> set[str]:
+    """Names of the runs that any manifest, or one of the `keep` newest, lists."""
+    names = _published(spark, layout)[-keep if keep else 0 :]
+    return {run.run for name in names for run in _runs_of(spark, layout, name)}
+
+
 def _clear(spark: SparkSession, layout: LakeLayout, keep: int) -> None:
-    published = _published(spark, layout)
-    held = {run.run for name in published[-keep:] for run in _runs_of(spark, layout, name)}
+    published, held = _published(spark, layout), held_runs(spark, layout, keep)
     for old in published[:-keep]:
         delete_path(spark, f"{layout.silver_compacted}/{_PUBLISHED}/{old}")
         delete_path(spark, f"{layout.silver_compacted}/manifests/{old}")
@@ -134,6 +140,24 @@ def read_stream_lane(spark: SparkSession, layout: LakeLayout) -> DataFrame:
     return _rows(spark, layout, runs, [path for path in lane.inputFiles() if path not in covered])
 
 
+def stream_parts(spark: SparkSession, layout: LakeLayout) -> tuple[list[Run], list[str]]:
+    """The newest runs, and the files of the log that they do not cover. No stream lane, no parts."""
+    try:
+        files = _lane(spark, layout).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [], []
+    runs = current_runs(spark, layout)
+    covered = _covered(spark, layout, runs)
+    return runs, [path for path in files if path not in covered]
+
+
+def read_parts(spark: SparkSession, layout: LakeLayout, runs: list[Run], files: list[str]) -> DataFrame:
+    """Silver of some runs and files, of one at least."""
+    return _rows(spark, layout, runs, files)
+
+
 def covered_share(spark: SparkSession, layout: LakeLayout) -> DataFrame:
     """How many files the lane has and how many of them runs cover: a sign when to compact."""
     files = _lane(spark, layout).inputFiles()

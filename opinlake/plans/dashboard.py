@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinlake.functions.review import has_opinion
@@ -35,11 +35,10 @@ _LEVELS = {
 }
 
 
-def report_cube(silver: DataFrame, trusted: bool = False) -> DataFrame:
-    """Every aggregate of the dashboard from one scan of narrow columns. Of a `trusted` sample
-    nothing is filtered out, and sources keep their names.
+def _by_level(silver: DataFrame, trusted: bool, *scores: Column) -> DataFrame:
+    """Counts on five grouping levels, and the given measures of the score (`points`).
 
-    Each row counts on five grouping levels. They are combined on the map side, so what is
+    Each row counts on every level. They are combined on the map side, so what is
     shuffled is one row per task for each product and next to nothing for the other levels.
     (Combining per product, score and source first, to expand fewer rows, was slower: it
     shuffles a row per combination.)
@@ -58,7 +57,7 @@ def report_cube(silver: DataFrame, trusted: bool = False) -> DataFrame:
     return rows.groupingSets([[], *([column] for column in columns)], *columns).agg(
         level.alias("level"),
         F.count(F.lit(1)).alias("review_count"),
-        F.avg("points").alias("average_score"),
+        *scores,
         F.count_if(F.col("tone") == "negative").alias("negative_review_count"),
         F.min("created_at").alias("first_review_at"),
         F.max("created_at").alias("last_review_at"),
@@ -69,6 +68,38 @@ def report_cube(silver: DataFrame, trusted: bool = False) -> DataFrame:
     )
 
 
+def report_cube(silver: DataFrame, trusted: bool = False) -> DataFrame:
+    """Every aggregate of the dashboard from one scan of narrow columns. Of a `trusted` sample
+    nothing is filtered out, and sources keep their names."""
+    return _by_level(silver, trusted, F.avg("points").alias("average_score"))
+
+
+def partial_cube(silver: DataFrame) -> DataFrame:
+    """The cube of a part of silver, with sums that can be added up. See `merge_cubes`."""
+    points = (F.sum("points").alias("score_sum"), F.count("points").alias("score_count"))
+    return _by_level(silver, False, *points)
+
+
+def merge_cubes(partials: DataFrame) -> DataFrame:
+    """The cube of all parts from the rows of their partial cubes. The row over all rows is there
+    once, also where every part had one."""
+    counts = (
+        "review_count", "score_sum", "score_count", "negative_review_count",
+        "negative_keyword_reviews", "positive_keyword_reviews",
+    )
+    merged = partials.groupBy("level", *_LEVELS.values()).agg(
+        *(F.sum(name).alias(name) for name in counts),
+        F.min("first_review_at").alias("first_review_at"),
+        F.max("last_review_at").alias("last_review_at"),
+    )
+    return merged.select(
+        *_LEVELS.values(), "level", "review_count",
+        F.try_divide(F.col("score_sum").cast("double"), "score_count").alias("average_score"),
+        "negative_review_count", "first_review_at", "last_review_at",
+        "negative_keyword_reviews", "positive_keyword_reviews",
+    )
+
+
 def _level(cube: DataFrame, name: str) -> DataFrame:
     return cube.where(F.col("level") == name)
 

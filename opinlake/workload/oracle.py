@@ -492,6 +492,12 @@ def _counted_named(body: str) -> str:
     return _with("counted catalog", _named(body))
 
 
+_AUDIT = (
+    "SELECT (SELECT count(*) FROM history) AS raw_rows,"
+    " (SELECT count(*) FROM cleaned) AS cleaned_rows,"
+    " (SELECT count(*) FROM cleaned) AS written_rows"
+)
+
 ORACLE: dict[str, str] = {
     # sources
     "csv_scan": _HISTORY,
@@ -524,12 +530,8 @@ ORACLE: dict[str, str] = {
     "clean_reviews": _with("cleaned", f"SELECT {HISTORY_COLUMNS} FROM cleaned"),
     "normalize_reviews": _BATCH_SILVER,
     "batch_ingest": _BATCH_SILVER,
-    "ingest_audit": _with(
-        "cleaned",
-        "SELECT (SELECT count(*) FROM history) AS raw_rows,"
-        " (SELECT count(*) FROM cleaned) AS cleaned_rows,"
-        " (SELECT count(*) FROM cleaned) AS written_rows",
-    ),
+    "ingest_audit": _with("cleaned", _AUDIT),
+    "load_audits": _with("cleaned", _AUDIT),
     "bronze_json_roundtrip": _with("cleaned", f"SELECT {HISTORY_COLUMNS} FROM cleaned"),
     "batch_dedup": _with(
         "silver",
@@ -699,6 +701,7 @@ ORACLE: dict[str, str] = {
     # bundles
     "dashboard": _with("counted catalog", _DASHBOARD_SQL),
     "dashboard_by_report": _with("counted catalog", _DASHBOARD_SQL),
+    "dashboard_incremental": _with("counted catalog", _DASHBOARD_SQL),
     "analytics_bundle": _with(
         "counted catalog",
         "\nUNION ALL ".join(

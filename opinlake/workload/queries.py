@@ -16,7 +16,7 @@ from opinlake.layout import LakeLayout
 from opinlake.operators import catalog as ct
 from opinlake.operators import cleaning, dedup, events, quality
 from opinlake.operators import reports as rp
-from opinlake.plans import batch_ingest, compaction, snapshot
+from opinlake.plans import batch_ingest, compaction, loads, partials, snapshot
 from opinlake.plans import dashboard as db
 from opinlake.session import apply_lake_settings, materialize, scratch_path, spread
 from opinlake.sources import catalog as catalog_source
@@ -561,6 +561,49 @@ def dashboard_by_report(spark, sf_dir):
     return one_relation(db.dashboard_by_report(rows, tb.catalog(spark, sf_dir)))
 
 
+def _in_loads(spark, sf_dir) -> LakeLayout:
+    """The same silver as three loads, and a stream lane with a run and files after it. Partials are
+    there for two loads and the run."""
+
+    def write(path: str) -> LakeLayout:
+        layout, replay = LakeLayout(path), f"{path}/replay"
+        rows, records = history(spark, sf_dir), tb.record_batch(spark, sf_dir)
+        number = F.pmod(F.xxhash64("Id", "Time", "Text"), F.lit(3))
+
+        def load(part: int) -> None:
+            batch_ingest.ingest_history(rows.where(number == part), layout, f"part-{part}")
+
+        def receive(half: int) -> None:
+            records.where(F.col("offset") % 2 == half).write.mode("append").parquet(replay)
+            stream = event_source.replay_stream(spark, replay)
+            jobs.finish(jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW))
+
+        load(0)
+        load(1)
+        receive(0)
+        compaction.compact_stream_lane(spark, layout)
+        partials.refresh_partials(spark, layout)
+        load(2)
+        receive(1)
+        return layout
+
+    return _once(spark, sf_dir, "lake_in_loads", write)
+
+
+@query
+def dashboard_incremental(spark, sf_dir):
+    """The dashboard from partial aggregates and a scan of what has none."""
+    products = tb.catalog(spark, sf_dir)
+    return one_relation(partials.incremental_dashboard(spark, _in_loads(spark, sf_dir), products))
+
+
+@query
+def load_audits(spark, sf_dir):
+    """What was counted in the three loads."""
+    audits = loads.load_audits(spark, _in_loads(spark, sf_dir)).drop("load")
+    return audits.agg(*(F.sum(name).cast("bigint").alias(name) for name in audits.columns))
+
+
 @query
 def analytics_bundle(spark, sf_dir):
     rows = lake_silver(spark, sf_dir)
