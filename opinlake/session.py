@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,22 @@ def apply_lake_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session while something is run."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 _local_folders: dict[str, str] = {}
 
 
