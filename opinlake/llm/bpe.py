@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.batches import as_bytes, map_slices
+from opinlake.llm.batches import SLICE_BYTES, as_bytes, map_slices
 
 CACHE_ENTRIES = 350_000
 NEVER = np.int64(1) << 40
@@ -390,7 +390,8 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
         )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_slices(_keyed(docs), work, schema)
+    # Ids as text and decoded text are held, too.
+    return map_slices(_keyed(docs), work, schema, limit=SLICE_BYTES // 2)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

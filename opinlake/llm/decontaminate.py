@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.batches import as_bytes, map_slices
+from opinlake.llm.batches import as_bytes, hand_back, map_slices
 from opinlake.session import materialize, scratch_path
 
 WINDOW = 10
@@ -177,6 +177,7 @@ def search(index: DataFrame, tests: Windows, slack: int = 0) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 yield _search_segment(batch.slice(k, 1), shared.value, slack)
+        hand_back()
 
     return index.mapInArrow(
         run,
