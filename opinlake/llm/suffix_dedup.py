@@ -5,20 +5,20 @@ choice depends on those words alone, so a passage that stands in two documents h
 positions in both. Only suffixes at chosen positions are kept, about one for 22 words, and of those
 only the ones whose first `GRAM` words some other document has at a chosen position, too.
 
-They are sorted: by ranges over the first words, what follows (`min_words` words), what comes before
-(nearest word first), then the document, so that even thousands of equal suffixes are spread over
-tasks. Each suffix is compared with the nearest one before and after it from another document and
-with those at most `REACH` rows away, and the match is extended word by word to the right and to the
-left. From `min_words` words on it is a repeat. Where two parts of the order meet, some rows from
-either side are compared on the driver: `REACH` rows or one document's for each part.
-
-Neighbours in the order have the longest common continuation, and among equal ones the longest
-common past. What a group of up to `REACH` + 1 suffixes with equal first words shares is all found.
-In a larger group a partner may be near in no order, so its suffixes are also searched exactly: each
-of the windows of `min_words` words around the suffix's first words is hashed, and a window that a
-second document has is a repeat. Hashes are counted, with a combine on the map side, not paired.
-Only suffixes go there of which some other document shares the first or the last part that one of
-any such windows must hold.
+A suffix is seen with its surroundings: `min_words` words from its place on and those before it that
+one window with its first words can hold. Equal surroundings are one row of the order, with the
+smallest and the largest document that has them, however often they occur: the suffixes behind a row
+take its result. From two documents on, all that a row sees is repeated.
+
+Rows are sorted by their first words, by what follows and by what comes before (nearest word first).
+Each is compared with those at most `REACH` rows away, and the match is extended word by word to the
+right and to the left; from `min_words` words on it is a repeat. A group of up to `REACH` + 1 rows with
+equal first words stays in one task and is compared in full. Larger groups are spread over tasks by
+what follows. There a partner may be near in no order, so rows that their neighbours do not explain
+as far as they see are also searched exactly: the windows of `min_words` words around their first words
+are hashed, beside those of rows which share the first or the last part that any such window must
+hold, and a window that a second document has is a repeat. Hashes are counted, with a combine on the
+map side, not paired, and windows are not written.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z, so marks and
 spacing do not matter. Inputs: NULL and empty texts and texts of fewer words have no repeats. Rows
@@ -42,11 +42,18 @@ from opinlake.session import materialize
 
 MIN_WORDS = 50
 GRAM = 8
-REACH = 16  # rows of the order that a suffix is compared with on either side, besides the nearest
+REACH = 16  # rows of the order that a row is compared with on either side
 PAST_REACH = 4  # and of the order by what comes before, within a batch of a large group, for longer spans
 
-SUFFIX_SCHEMA = "gram long, doc_id long, at int, after binary, before binary, crowded boolean"
-MATCH_SCHEMA = "part int, edge int, gram long, doc_id long, at int, after binary, before binary, start int, stop int, other_id long"
+MINIMISER_SCHEMA = "doc_id long, at int, gram long, look long, ahead int"
+ROW_SCHEMA = "gram long, look long, low long, high long, large boolean, after binary, before binary"
+MATCH_SCHEMA = (
+    "gram long, look long, low long, high long, left int, right int, other long, "
+    "large boolean, needy boolean, front long, rear long"
+)
+WINDOW_SCHEMA = "gram long, look long, low long, high long, needy boolean, start int, window long"
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -73,28 +80,30 @@ def chosen(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(hashes) - GRAM + 1
     grams = np.zeros(n, np.uint64)
     for k in range(GRAM):
-        grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n]
+        grams = grams * np.uint64(FACTOR) + hashes[k : k + n]
     grams = _mixed(grams)
     windows = sliding_window_view(grams, min_words - GRAM + 1)
     at = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
     return at, grams[at].view(np.int64)
 
 
-def halves(hashes: np.ndarray, at: np.ndarray, min_words: int) -> tuple[pa.Array, pa.Array]:
-    """Hashes of the words from each position on and of those before it with its gram: a window of
-    `min_words` words that holds the gram holds all words of one of them. NULL beyond the document."""
-    ahead = (min_words + GRAM) // 2
-    behind = min_words - ahead + 1
-
-    def made(first: np.ndarray, size: int, mark: int) -> pa.Array:
-        fits = (first >= 0) & (first + size <= len(hashes))
-        value = np.full(len(first), mark, np.uint64)
-        safe = np.where(fits, first, 0)
-        for k in range(size if fits.any() else 0):
-            value = value * np.uint64(0x9E3779B97F4A7C15) + hashes[safe + k]
-        return pa.array(_mixed(value).view(np.int64), mask=~fits)
-
-    return made(at, ahead, 1), made(at - behind, behind + GRAM, 2)
+def looks(hashes: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
+    """A hash of the surroundings of each position: differences of running sums, shifted to one place.
+    Words beyond the document count as zero, which no word is."""
+    past = min_words - GRAM
+    made = [np.zeros(0, np.uint64)]
+    for k in range(0, len(at), 20_000):
+        part = at[k : k + 20_000]
+        first, last = part[0] - past, part[-1] + min_words
+        words = np.pad(
+            hashes[max(first, 0) : min(last, len(hashes))], (max(-first, 0), max(last - len(hashes), 0))
+        )
+        up = np.cumprod(np.full(len(words), FACTOR, np.uint64))
+        down = np.cumprod(np.full(len(words), INVERSE, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * down)])
+        start = part - past - first
+        made.append(_mixed((sums[start + past + min_words] - sums[start]) * up[start]))
+    return np.concatenate(made).view(np.int64)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -103,115 +112,129 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def minimisers(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, word position, gram and the hashes of both halves of every chosen position."""
+    """doc_id, word position, gram, hash of the surroundings and words ahead in sight of every chosen
+    position."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column(0).to_pylist()
         hashed = word_hashes(batch.column(1).to_pylist())
         found = [chosen(h, min_words) for h in hashed]
-        sides = [halves(h, at, min_words) for h, (at, _) in zip(hashed, found, strict=True)]
+        seen = [looks(h, at, min_words) for h, (at, _) in zip(hashed, found, strict=True)]
         owner = [np.full(len(at), i, np.int64) for i, (at, _) in zip(ids, found, strict=True)]
+        ahead = [np.minimum(len(h) - at, min_words) for h, (at, _) in zip(hashed, found, strict=True)]
         columns = [
             pa.array(np.concatenate(owner)),
             pa.array(np.concatenate([a for a, _ in found]).astype(np.int32)),
             pa.array(np.concatenate([g for _, g in found])),
-            pa.concat_arrays([a for a, _ in sides]),
-            pa.concat_arrays([b for _, b in sides]),
+            pa.array(np.concatenate(seen)),
+            pa.array(np.concatenate(ahead).astype(np.int32)),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "gram", "ahead", "behind"])
-
-    return map_slices(_documents(docs), work, "doc_id long, at int, gram long, ahead long, behind long")
-
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "gram", "look", "ahead"])
 
-def _crowded(found: DataFrame, grams: DataFrame) -> DataFrame:
-    """doc_id and position of the suffixes of large groups that share one half with another document."""
-    large = found.join(grams.where(F.col("n") > REACH + 1).select("gram"), "gram", "left_semi")
-    sides = large.select("doc_id", "at", F.explode(F.array("ahead", "behind")).alias("half")).where("half IS NOT NULL")
-    shared = sides.groupBy("half").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return sides.join(shared.where("low < high").select("half"), "half", "left_semi").select("doc_id", "at").distinct()
+    return map_slices(_documents(docs), work, MINIMISER_SCHEMA)
 
 
 def shared_suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The suffixes whose gram is chosen in at least two documents, with their surroundings."""
+    """The chosen positions whose gram is chosen in at least two documents."""
     found = materialize(minimisers(docs, min_words), "minimisers")
-    several = found.groupBy("gram").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")
-    )
-    several = several.where("low < high").select("gram", "n")
-    kept = found.join(several, "gram", "left_semi").select("doc_id", "at", F.lit(False).alias("exact"))
-    kept = kept.union(_crowded(found, several).select("doc_id", "at", F.lit(True)))
-    places = kept.groupBy("doc_id").agg(
-        F.collect_set("at").alias("places"), F.collect_set(F.when(F.col("exact"), F.col("at"))).alias("crowded")
+    several = found.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    return found.join(several.where("low < high").select("gram"), "gram", "left_semi")
+
+
+def surroundings(suffixes: DataFrame) -> DataFrame:
+    """Each distinct gram and look once: its smallest document with a place there, its largest document,
+    and how many there are of the gram."""
+    rows = suffixes.groupBy("gram", "look").agg(
+        F.min(F.struct("doc_id", "at", "ahead")).alias("first"), F.max("doc_id").alias("high")
     )
-    places = places.select(F.col("doc_id").alias("own_id"), "places", "crowded")
-    joined = _documents(docs).join(places, F.col("doc_id") == F.col("own_id"))
-    joined = joined.select("doc_id", "text", "places", "crowded")
+    rows = materialize(rows.select("gram", "look", "first.*", "high"), "surroundings")
+    # Most grams have one row, which is complete without a join.
+    several = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(several, "gram", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+
+
+def rows_in_words(docs: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:
+    """The rows with the words after and before their place, read from the text of one document."""
+    place = F.struct("at", "gram", "look", "high", (F.col("n") > REACH + 1).alias("large"))
+    places = rows.groupBy(F.col("doc_id").alias("own_id")).agg(F.collect_list(place).alias("places"))
+    joined = _documents(docs).join(places, F.col("doc_id") == F.col("own_id")).select("doc_id", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in by_size(batch, "text", 1_000_000):
-                yield from _surroundings(piece, min_words)
+                yield from _in_words(piece, min_words)
 
-    return joined.mapInArrow(run, SUFFIX_SCHEMA)
+    return joined.mapInArrow(run, ROW_SCHEMA)
 
 
-def _surroundings(batch: pa.RecordBatch, min_words: int) -> Iterator[pa.RecordBatch]:
+def _in_words(batch: pa.RecordBatch, min_words: int) -> Iterator[pa.RecordBatch]:
     hashed = word_hashes(batch.column(1).to_pylist())
-    for doc_id, hashes, places, exact in zip(
-        batch.column(0).to_pylist(), hashed, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
-    ):
-        at, grams = chosen(hashes, min_words)
-        keep = np.isin(at, np.array(places, np.int64))
-        at, grams = at[keep], grams[keep]
-        crowded = np.isin(at, np.array(exact, np.int64))
+    edge = np.zeros(min_words, np.uint32)  # beyond the document: equal to nothing
+    fixed = lambda a: pa.array([r.tobytes() for r in np.ascontiguousarray(a)], pa.binary())
+    for k, (doc_id, hashes) in enumerate(zip(batch.column(0).to_pylist(), hashed, strict=True)):
+        places = batch.column(2)[k].values
+        column = lambda name, p=places: p.field(name).to_numpy(zero_copy_only=False)
+        at, look = column("at").astype(np.int64), column("look")
+        # Of rows that repeat a doc_id, those that are meant.
+        mine = np.flatnonzero(at + GRAM <= len(hashes))
+        order = mine[np.argsort(at[mine], kind="stable")]
+        mine = order[looks(hashes, at[order], min_words) == look[order]]
         small = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-        edge = np.zeros(min_words, np.uint32)  # beyond the document: equal to nothing
         padded = np.concatenate([edge, small, edge])
-        after = padded[(at + min_words)[:, None] + np.arange(min_words)]
-        before = padded[(at + min_words)[:, None] - 1 - np.arange(min_words - GRAM)]
-        fixed = lambda a: pa.array([r.tobytes() for r in np.ascontiguousarray(a)], pa.binary())
-        for k in range(0, len(at), 4096):
-            part = slice(k, k + 4096)
-            size = len(at[part])
+        for first in range(0, len(mine), 4096):
+            part = mine[first : first + 4096]
+            middle = (at[part] + min_words)[:, None]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(grams[part]), pa.array(np.full(size, doc_id, np.int64)),
-                    pa.array(at[part].astype(np.int32)), fixed(after[part]), fixed(before[part]),
-                    pa.array(crowded[part]),
+                    pa.array(column("gram")[part]), pa.array(look[part]), pa.array(np.full(len(part), doc_id, np.int64)),
+                    pa.array(column("high")[part]), pa.array(column("large")[part].astype(bool)),
+                    fixed(padded[middle + np.arange(min_words)]),
+                    fixed(padded[middle - 1 - np.arange(min_words - GRAM)]),
                 ],
-                ["gram", "doc_id", "at", "after", "before", "crowded"],
+                ["gram", "look", "low", "high", "large", "after", "before"],
             )
 
 
 class _Rows:
-    """Sorted suffixes in arrays."""
+    """Sorted rows in arrays."""
+
+    NAMES = ("gram", "look", "low", "high", "large", "after", "before")
 
-    def __init__(self, gram, doc_id, at, after, before) -> None:
-        self.gram, self.doc_id, self.at, self.after, self.before = gram, doc_id, at, after, before
+    def __init__(self, *columns: np.ndarray) -> None:
+        self.gram, self.look, self.low, self.high, self.large, self.after, self.before = columns
 
     @staticmethod
     def of(batch: pa.RecordBatch, min_words: int) -> _Rows:
-        column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
         wide = lambda name, n: np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint32).reshape(-1, n)
-        return _Rows(
-            column("gram"), column("doc_id"), column("at").astype(np.int64),
-            wide("after", min_words), wide("before", min_words - GRAM),
-        )
+        plain = (batch.column(name).to_numpy(zero_copy_only=False) for name in _Rows.NAMES[:5])
+        return _Rows(*plain, wide("after", min_words), wide("before", min_words - GRAM))
 
     def __len__(self) -> int:
         return len(self.gram)
 
     def take(self, where) -> _Rows:
-        return _Rows(*(getattr(self, n)[where] for n in ("gram", "doc_id", "at", "after", "before")))
+        return _Rows(*(getattr(self, n)[where] for n in self.NAMES))
 
     def then(self, other: _Rows) -> _Rows:
-        names = ("gram", "doc_id", "at", "after", "before")
-        return _Rows(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in names))
+        return _Rows(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in self.NAMES))
+
 
-    def runs(self) -> np.ndarray:
-        """Starts of runs of rows with equal gram and document."""
-        new = (self.gram[1:] != self.gram[:-1]) | (self.doc_id[1:] != self.doc_id[:-1])
-        return np.concatenate([[0], np.flatnonzero(new) + 1])
+def _hashed(gram: np.ndarray, words: np.ndarray, mark: int) -> np.ndarray:
+    """A hash of each row of words, with its gram and a mark."""
+    value = gram.view(np.uint64) + np.uint64(mark)
+    for k in range(words.shape[1]):
+        value = value * np.uint64(FACTOR) + words[:, k]
+    return _mixed(value).view(np.int64)
+
+
+def _halves(rows: _Rows, min_words: int) -> list[pa.Array]:
+    """Hashes of the words from each place on and of those up to the end of its gram: a window of
+    `min_words` words that holds the gram holds all words of exactly one. NULL beyond the document."""
+    ahead = (min_words + GRAM) // 2
+    front, rear = rows.after[:, :ahead], rows.before[:, : min_words - ahead + 1]
+    return [
+        pa.array(_hashed(rows.gram, part, mark), mask=(part[:, -1] == 0)) for mark, part in ((1, front), (2, rear))
+    ]
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,19 +243,26 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def neighbour_matches(rows: _Rows, min_words: int) -> tuple[np.ndarray, ...]:
-    """doc_id, start, stop and the smallest other document of each row that has a match of at least
-    `min_words` words with a neighbour.
+    """Words to the left and right of each row's place that are repeated, the smallest other document
+    of a match, and whether that leaves words in sight that may be repeated as well.
 
-    Neighbours are the nearest row of another document on either side and all rows of other
-    documents at most `REACH` rows away. Every match of a row holds the row's own place, so together
-    they are one stretch from the farthest start to the farthest stop.
+    Every match of a row holds the row's own place, so together they are one stretch from the
+    farthest start to the farthest stop.
     """
     n = len(rows)
-    left_most, right_most = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    sight = (rows.before != 0).sum(axis=1), (rows.after != 0).sum(axis=1)
+    several = rows.low < rows.high
+    left_most, right_most = np.where(several, sight[0], 0), np.where(several, sight[1], 0)
     partner = np.full(n, np.iinfo(np.int64).max)
 
+    def explained() -> np.ndarray:
+        return (left_most == sight[0]) & (right_most == sight[1])
+
     def compare(own: np.ndarray, other: np.ndarray) -> None:
-        fits = (rows.gram[own] == rows.gram[other]) & (rows.doc_id[own] != rows.doc_id[other])
+        fits = rows.gram[own] == rows.gram[other]
+        fits &= several[own] | several[other] | (rows.low[own] != rows.low[other])
+        full = explained()  # rows that have matched as far as they can see gain nothing more
+        fits &= ~(full[own] & full[other])
         own, other = own[fits], other[fits]
         right = _common(rows.after[own], rows.after[other])
         left = _common(rows.before[own], rows.before[other])
@@ -241,27 +271,14 @@ def neighbour_matches(rows: _Rows, min_words: int) -> tuple[np.ndarray, ...]:
         for mine, theirs in ((own, other), (other, own)):
             np.maximum.at(left_most, mine, left)
             np.maximum.at(right_most, mine, right)
-            np.minimum.at(partner, mine, rows.doc_id[theirs])
-
-    starts = rows.runs()
-    ends = np.append(starts[1:], n)
-    compare(ends[:-1] - 1, starts[1:])
-    run = np.searchsorted(starts, np.arange(n), "right") - 1
-    own = np.concatenate([np.arange(n)] * 2)
-    other = np.concatenate([starts[run] - 1, ends[run]])
-    inside = (other >= 0) & (other < n)
-    compare(own[inside], other[inside])
-    widest = (rows.after.shape[1], rows.before.shape[1])
+            apart = np.where(rows.low[theirs] != rows.low[mine], rows.low[theirs], rows.high[theirs])
+            np.minimum.at(partner, mine, apart)
+
     for step in range(1, min(REACH, n - 1) + 1):
         own = np.arange(n - step)
-        # Rows that have matched as far as they can see gain nothing more.
-        full = (right_most == widest[0]) & (left_most == widest[1])
-        own = own[~(full[own] & full[own + step])]
         compare(own, own + step)
-    # In groups that are larger than that, also by what comes before.
-    borders = np.flatnonzero(np.diff(rows.gram)) + 1
-    sizes = np.diff(np.concatenate([[0], borders, [n]]))
-    large = np.flatnonzero(np.repeat(sizes, sizes) > REACH + 1)
+    # In large groups also by what comes before.
+    large = np.flatnonzero(rows.large & ~explained())
     if len(large):
         keys = np.concatenate(
             [rows.gram[large].astype(">i8").view(np.uint8).reshape(-1, 8),
@@ -270,118 +287,106 @@ def neighbour_matches(rows: _Rows, min_words: int) -> tuple[np.ndarray, ...]:
         by_past = large[np.argsort(keys.view(f"S{keys.shape[1]}").ravel(), kind="stable")]
         for step in range(1, min(PAST_REACH, len(large) - 1) + 1):
             compare(by_past[:-step], by_past[step:])
-    found = np.flatnonzero(right_most)
-    at = rows.at[found]
-    return rows.doc_id[found], at - left_most[found], at + right_most[found], partner[found]
-
+    return left_most, right_most, partner, rows.large & ~explained()
 
-def _matches(suffixes: DataFrame, min_words: int) -> DataFrame:
-    order = ["gram", "after", "before", "doc_id", "at"]
-    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
 
-    def emit(part: int, found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        doc_id, start, stop, other = found
-        n = len(doc_id)
-        none = lambda kind: pa.nulls(n, kind)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, part, np.int32)), none(pa.int32()), none(pa.int64()),
-                pa.array(doc_id.astype(np.int64)), none(pa.int32()), none(pa.binary()), none(pa.binary()),
-                pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(other.astype(np.int64)),
-            ],
-            [c.split()[0] for c in MATCH_SCHEMA.split(", ")],
-        )
+def matches(rows: DataFrame, min_words: int) -> DataFrame:
+    """Each row of the order once, with what its neighbours tell of it."""
+    # A small group has one key, so it is in one part; a large one is dealt out by what follows.
+    dealt = rows.withColumn("tail", F.when(F.col("large"), F.col("after"))).repartitionByRange("gram", "tail")
+    ordered = dealt.drop("tail").sortWithinPartitions("gram", "after", "before")
 
-    def edge(part: int, side: int, rows: _Rows) -> pa.RecordBatch:
-        n = len(rows)
+    def emit(rows: _Rows, which: slice) -> pa.RecordBatch:
+        left, right, other, needy = (x[which] for x in neighbour_matches(rows, min_words))
+        kept = rows.take(which)
+        none = other == np.iinfo(np.int64).max
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, side, np.int32)), pa.array(rows.gram),
-                pa.array(rows.doc_id), pa.array(rows.at.astype(np.int32)),
-                pa.array([r.tobytes() for r in rows.after], pa.binary()),
-                pa.array([r.tobytes() for r in rows.before], pa.binary()),
-                pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
+                *(pa.array(x) for x in (kept.gram, kept.look, kept.low, kept.high)),
+                pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(other, mask=none),
+                pa.array(kept.large.astype(bool)), pa.array(needy.astype(bool)), *_halves(kept, min_words),
             ],
             [c.split()[0] for c in MATCH_SCHEMA.split(", ")],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, held, head = TaskContext.get().partitionId(), None, True
+        held, done = None, 0  # rows of the batches before, and how many of them are given out
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = _Rows.of(batch, min_words)
             rows = rows if held is None else held.then(rows)
-            starts = rows.runs()
-            if head and len(starts) > 1:
-                yield edge(part, 0, rows.take(slice(0, max(REACH, starts[1]))))
-                head = False
-            yield emit(part, neighbour_matches(rows, min_words))
-            # The last run may go on, and its first row needs the row before it.
-            held = rows.take(slice(max(0, min(starts[-1] - 1, len(rows) - REACH)), None))
+            ready = len(rows) - REACH  # rows whose neighbours are all here
+            if ready > done:
+                yield emit(rows, slice(done, ready))
+                first = max(0, ready - REACH)
+                rows, done = rows.take(slice(first, None)), ready - first
+            held = rows
         if held is not None:
-            if head:
-                yield edge(part, 0, held)
-            yield edge(part, 1, held)
+            yield emit(held, slice(done, len(held)))
 
     return ordered.mapInArrow(run, MATCH_SCHEMA)
 
 
-def _across_parts(matches: DataFrame, min_words: int) -> list[tuple[int, int, int, int]]:
-    """Matches between the last run of a part and the first of the next."""
-    ends = matches.where("edge IS NOT NULL").orderBy("part", "edge", "at").collect()
-    parts: dict[int, tuple[list, list]] = {}
-    for row in ends:
-        parts.setdefault(row["part"], ([], []))[row["edge"]].append(row)
-    found = []
-    for (_, before), (after, _) in zip(
-        [parts[k] for k in sorted(parts)], [parts[k] for k in sorted(parts)][1:], strict=False
-    ):
-        both = [r for r in (*before, *after)]
-        rows = _Rows(
-            np.array([r["gram"] for r in both]), np.array([r["doc_id"] for r in both]),
-            np.array([r["at"] for r in both]),
-            np.frombuffer(b"".join(r["after"] for r in both), np.uint32).reshape(-1, min_words),
-            np.frombuffer(b"".join(r["before"] for r in both), np.uint32).reshape(-1, min_words - GRAM),
-        )
-        found += zip(*(x.tolist() for x in neighbour_matches(rows, min_words)), strict=True)
-    return found
-
-
-def crowded_windows(suffixes: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, start and stop of every window of `min_words` words around the gram of a crowded suffix
-    that some other document has around one, too, and one such document."""
+def _windows(rows: DataFrame, min_words: int) -> DataFrame:
+    """Hashes of the windows that hold the gram and a half that another row has."""
+    ahead = (min_words + GRAM) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 2048):
-                rows = _Rows.of(batch.slice(first, 2048), min_words)
-                # The words in order; the gram stands in every window.
+                piece = batch.slice(first, 2048)
+                rows = _Rows.of(piece, min_words)
+                front, rear, needy = (
+                    piece.column(n).to_numpy(zero_copy_only=False).astype(bool)
+                    for n in ("by_front", "by_rear", "needy")
+                )
                 words = np.concatenate([rows.before[:, ::-1], rows.after], axis=1).astype(np.uint64)
-                for start in range(rows.before.shape[1] + 1):
+                past = rows.before.shape[1]
+                for start in range(past + 1):
                     window = words[:, start : start + min_words]
-                    inside = np.flatnonzero((window[:, 0] != 0) & (window[:, -1] != 0))
-                    value = rows.gram[inside].view(np.uint64) + np.uint64(start)
-                    for k in range(min_words):
-                        value = value * np.uint64(0x9E3779B97F4A7C15) + window[inside, k]
+                    wanted = front if min_words - (past - start) >= ahead else rear
+                    inside = np.flatnonzero(wanted & (window[:, 0] != 0) & (window[:, -1] != 0))
+                    value = _hashed(rows.gram[inside], window[inside], 3 + start)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(_mixed(value).view(np.int64)), pa.array(rows.doc_id[inside]),
-                            pa.array((rows.at[inside] - rows.before.shape[1] + start).astype(np.int32)),
+                            *(pa.array(x[inside]) for x in (rows.gram, rows.look, rows.low, rows.high, needy)),
+                            pa.array(np.full(len(inside), start, np.int32)), pa.array(value),
                         ],
-                        ["window", "doc_id", "start"],
+                        [c.split()[0] for c in WINDOW_SCHEMA.split(", ")],
                     )
 
-    slim = suffixes.where("crowded").select("gram", "doc_id", "at", "after", "before")
-    windows = slim.mapInArrow(run, "window long, doc_id long, start int")
-    windows = materialize(windows, "crowded_windows")
-    shared = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    found = windows.join(shared.where("low < high"), "window")
-    other = F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-    stop = (F.col("start") + min_words).cast("int").alias("stop")
-    return found.select("doc_id", "start", stop, other.alias("other_id"))
+    return rows.mapInArrow(run, WINDOW_SCHEMA)
+
+
+def crowded_windows(rows: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """For the rows of large groups that their neighbours do not explain: words to the left and right
+    of the place in windows of `min_words` words that some other document has, too, and one such
+    document."""
+    key = ["gram", "look"]
+    sides = found.where("large").select(*key, "low", "high", "needy", F.posexplode(F.array("front", "rear")))
+    sides = sides.withColumnsRenamed({"pos": "side", "col": "half"}).where("half IS NOT NULL")
+    several = sides.groupBy("half").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("needy").alias("needy")
+    )
+    several = several.where("low < high AND needy").select("half")
+    kept = sides.join(several, "half", "left_semi").groupBy(*key).agg(
+        F.max(F.col("side") == 0).alias("by_front"), F.max(F.col("side") == 1).alias("by_rear"),
+        F.max("needy").alias("needy"),
+    )
+    meant = materialize(rows.join(kept, key), "crowded_rows")
+    shared = _windows(meant, min_words).groupBy("window").agg(
+        F.min("low").alias("least"), F.max("high").alias("most"), F.max("needy").alias("asked")
+    )
+    shared = shared.where("least < most AND asked").select("window", "least", "most")
+    hits = _windows(meant.where("needy"), min_words).join(shared, "window")
+    past = min_words - GRAM
+    # A row in need of windows has one document.
+    other = F.when(F.col("low") == F.col("least"), F.col("most")).otherwise(F.col("least"))
+    return hits.groupBy(*key).agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max(past - F.col("start")).alias("left"),
+        F.max(F.col("start") + min_words - past).alias("right"), F.min(other).alias("other"),
+    )
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -391,13 +396,27 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     if min_words < 2 * GRAM:
         raise ValueError(f"min_words must be at least {2 * GRAM}")
     suffixes = materialize(shared_suffixes(docs, min_words), "suffixes")
-    matches = materialize(_matches(suffixes.drop("crowded"), min_words), "suffix_matches")
-    spans = matches.where("edge IS NULL").select("doc_id", "start", "stop", "other_id")
-    spans = spans.union(crowded_windows(suffixes, min_words))
-    across = _across_parts(matches, min_words)
-    if across:
-        more = docs.sparkSession.createDataFrame(across, "doc_id long, start int, stop int, other_id long")
-        spans = spans.union(more)
+    order = materialize(surroundings(suffixes), "order")
+    # The only row of its gram: its suffixes are in two documents and equal as far as they see.
+    alone = order.where("n = 1").select(
+        "gram", "look", F.col("doc_id").alias("low"), "high",
+        F.least("at", F.lit(min_words - GRAM)).alias("left"), F.col("ahead").alias("right"),
+        F.lit(None).cast("long").alias("other"),
+    )
+    rows = materialize(rows_in_words(docs, order.where("n > 1"), min_words), "suffix_rows")
+    found = materialize(matches(rows, min_words), "suffix_matches")
+    columns = alone.columns
+    results = found.where("right > 0").select(*columns).union(alone)
+    results = results.union(crowded_windows(rows, found, min_words).select(*columns))
+    results = results.groupBy("gram", "look").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("left").alias("left"),
+        F.max("right").alias("right"), F.min("other").alias("other"),
+    )
+    others = F.filter(F.array("low", "high", "other"), lambda x: x != F.col("doc_id"))
+    spans = suffixes.join(results, ["gram", "look"]).select(
+        "doc_id", (F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("right")).alias("stop"),
+        F.array_min(others).alias("other_id"),
+    )
     # Per document: overlapping and touching spans become one.
     spans = spans.groupBy("doc_id", "start", "stop").agg(F.min("other_id").alias("other_id"))
     own = Window.partitionBy("doc_id").orderBy("start", "stop")
