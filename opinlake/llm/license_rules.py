@@ -2,9 +2,12 @@
 
 A line is `label | keyword | kind | pattern`. The keyword, in lower case, is in every text that the
 pattern matches, so the rule runs only on texts that have it. A blank in a pattern stands for white
-space, comment marks and line breaks. Kinds, from the best to the least: `tag` (a machine-readable
+space, comment marks and line breaks, as many as there are. Kinds, from the best to the least: `tag` (a machine-readable
 identifier), `text` (words of the license itself), `name` (its title), `url`, `hint` (a mention).
 Of equal kinds, earlier lines come first. Patterns use what Java's and Python's `re` share.
+
+Tags are looked for inside the lines that `EXPRESSION` finds: the first identifier, behind brackets or
+not, and every one that AND or OR joins to it.
 """
 
 from __future__ import annotations
@@ -13,9 +16,10 @@ from dataclasses import dataclass
 
 KINDS = ("tag", "text", "name", "url", "hint")
 CONFIDENCE = {"tag": 1.0, "text": 0.95, "name": 0.85, "url": 0.8, "hint": 0.5}
-GAP = r"[\s*#/;>-]{1,12}"
+GAP = r"[\s*#/;>%!\"'-]++"
+EXPRESSION = r"(?i)(?<![A-Za-z0-9])SPDX-License-Identifier:[^\r\n]*+"
 
-# Identifiers for which a tag rule `SPDX-License-Identifier: <id>` is made.
+# Identifiers for which a tag rule is made.
 TAGGED = """
 0bsd:0BSD afl-3.0:AFL-3\\.0 agpl-3.0:AGPL-3\\.0 apache-2.0:Apache-2\\.0 apache-1.1:Apache-1\\.1
 artistic-1.0:Artistic-1\\.0 artistic-2.0:Artistic-2\\.0 blueoak-1.0.0:BlueOak-1\\.0\\.0
@@ -262,16 +266,22 @@ def _compiled(pattern: str) -> str:
     return f"(?i)(?<![A-Za-z0-9])(?:{''.join(body)})(?![A-Za-z0-9])"
 
 
+def _tag(name: str) -> str:
+    """The identifier in an expression, whole, with a suffix that widens it or not."""
+    first = r"^SPDX-License-Identifier:[( \t]*+"
+    joined = r"(?<![A-Za-z0-9.+-])(?:AND|OR)[( \t]++"
+    return rf"(?i)(?:{first}|{joined}){name}(?:-only|-or-later|\+)?(?![A-Za-z0-9+-]|\.[A-Za-z0-9])"
+
+
 def rules() -> list[Rule]:
     """All rules in their order: the tags, then the lines above."""
     found = []
     for entry in TAGGED:
         label, name = entry.split(":", 1)
-        pattern = f"SPDX-License-Identifier:[ \\t]*{name}(?:-only|-or-later|\\+)?"
-        found.append((label, "spdx", "tag", pattern))
+        found.append((label, "spdx", "tag", name))
     for line in LINES.strip().splitlines():
         found.append(tuple(part.strip() for part in line.split(" | ", 3)))
     return [
-        Rule(k, label, keyword.replace("\\", ""), kind, _compiled(pattern))
+        Rule(k, label, keyword.replace("\\", ""), kind, (_tag if kind == "tag" else _compiled)(pattern))
         for k, (label, keyword, kind, pattern) in enumerate(found)
     ]

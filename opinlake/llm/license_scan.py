@@ -1,8 +1,10 @@
 """License scan by ordered signature rules, in DataFrame functions alone.
 
 One pass collects the keywords of rules from every text. Texts with none are done; on the others
-only rules whose keyword is there run, and their matches are intervals of characters. Where intervals contain each other, one of a better or equal kind stays
-and the one inside it falls. All of it happens in the row: nothing is shuffled.
+only rules whose keyword is there run, and their matches are intervals of characters. Rules of tags
+run on the lines that hold an expression of identifiers, all others on the text. Where intervals
+contain each other, one of a better or equal kind stays and the one inside it falls. All of it
+happens in the row: nothing is shuffled.
 
 Three base phrases, whose words stand one after the other, are found besides and always count.
 
@@ -17,7 +19,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.license_rules import CONFIDENCE, KINDS, rules
+from opinlake.llm.license_rules import CONFIDENCE, EXPRESSION, KINDS, rules
 
 # Base phrases and their labels: fixed values.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -77,19 +79,35 @@ def spans(text: Column, pattern: Column) -> Column:
 def _detections(text: Column, keywords: Column) -> Column:
     """Matches of all rules whose keyword the text has, in the order that settles overlaps."""
     active = F.filter(_rule_table(), lambda r: F.array_contains(keywords, r["keyword"]))
+    whole = F.array(F.struct(F.lit(0).alias("start"), text.alias("words")))
 
-    def of_rule(rule: Column) -> Column:
+    def in_part(rule: Column, part: Column) -> Column:
         return F.transform(
-            spans(text, rule["pattern"]),
+            spans(part["words"], rule["pattern"]),
             lambda s: F.struct(
-                s["start"].alias("start"), (-s["stop"]).alias("turned"), rule["tier"].alias("tier"),
-                rule["rank"].alias("rank"), rule["label"].alias("label"), rule["confidence"].alias("confidence"),
+                (part["start"] + s["start"]).alias("start"), (-(part["start"] + s["stop"])).alias("turned"),
+                rule["tier"].alias("tier"), rule["rank"].alias("rank"), rule["label"].alias("label"),
+                rule["confidence"].alias("confidence"),
             ),
         )
 
+    def of_rule(rule: Column) -> Column:
+        parts = F.when(rule["tier"] == KINDS.index("tag"), F.col("expressions")).otherwise(whole)
+        return F.flatten(F.transform(parts, lambda part: in_part(rule, part)))
+
     return F.array_sort(F.flatten(F.transform(active, of_rule)))
 
 
+def _expressions(text: Column) -> Column:
+    """Start and words of the lines in which tags are looked for."""
+    return F.transform(
+        spans(text, F.lit(EXPRESSION)),
+        lambda s: F.struct(
+            s["start"].alias("start"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("words")
+        ),
+    )
+
+
 def _settled(detections: Column) -> Column:
     """Labels and best confidence of the detections that no other suppresses.
 
@@ -134,6 +152,9 @@ def scan(docs: DataFrame) -> DataFrame:
         there = F.array_contains("keywords", keyword)
         places = F.when(there, spans(text, F.lit(base_pattern(phrase)))).otherwise(none)
         kept = kept.withColumn(f"base_{k}", F.transform(places, lambda s: s["start"]))
+    lines = F.when(F.array_contains("keywords", "spdx"), _expressions(text))
+    nowhere = F.from_json(F.lit("[]"), "array<struct<start:int,words:string>>")
+    kept = kept.withColumn("expressions", F.coalesce(lines, nowhere))
     settled = F.when(F.size("keywords") > 0, _settled(_detections(text, F.col("keywords"))))
     kept = kept.withColumn("settled", settled)
     base = F.concat(*(F.col(f"base_{k}") for k in range(len(BASE))))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinlake.llm import decontaminate, license_scan, quality_rules, toxicity
-from opinlake.llm.license_rules import CONFIDENCE, rules
+from opinlake.llm.license_rules import CONFIDENCE, EXPRESSION, rules
 from opinlake.llm.text_stats import STATS, TOXIC_STATS, measure
 from opinlake.llm.trees import boost, isotonic, lasso_logistic
 from tests.llm.conftest import prose
@@ -109,10 +109,12 @@ def scan_expected(text):
         found = [k for k in range(len(own) - len(parts) + 1) if own[k : k + len(parts)] == parts]
         places += found
         base |= {label} if found else set()
+    lines = [(m.start(), m.group()) for m in re.finditer(EXPRESSION, text, re.A)]
     hits = [
-        (m.start(), -m.end(), r.tier, r.order, r.label, CONFIDENCE[r.kind])
+        (at + m.start(), -at - m.end(), r.tier, r.order, r.label, CONFIDENCE[r.kind])
         for r in rules()
-        for m in re.finditer(r.pattern, text, re.A)
+        for at, part in (lines if r.kind == "tag" else [(0, text)])
+        for m in re.finditer(r.pattern, part, re.A)
     ]
     hits.sort()
     kept = [h for k, h in enumerate(hits) if not any(e[1] <= h[1] and e[2] <= h[2] for e in hits[:k])]
@@ -139,7 +141,7 @@ def example(pattern, rnd):
             if str(kind) == "CATEGORY":
                 return {"CATEGORY_SPACE": " ", "CATEGORY_DIGIT": "7"}[str(value)]
             return chr(value if str(kind) == "LITERAL" else rnd.randint(*value))
-        if name in ("MAX_REPEAT", "MIN_REPEAT"):
+        if name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
             low, high, inner = value
             return "".join(of(inner) for _ in range(rnd.randint(low, min(high, low + 2))))
         if name == "SUBPATTERN":
@@ -155,6 +157,7 @@ def test_no_match_of_a_rule_is_lost_to_keyword_or_gate(spark):
     """Random texts of every rule: gated scanning finds what ungated scanning finds."""
     rnd = random.Random(11)
     made = [example(r.pattern, rnd) for r in rules() for _ in range(6)]
+    made = [f"SPDX-License-Identifier: {t}" if t.startswith(("AND", "OR")) else t for t in made]
     made = [rnd.choice([str, str.upper, str.title])(t) for t in made]
     texts = list(enumerate(made))
     found = {r["doc_id"]: tuple(r)[1:] for r in license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
@@ -172,6 +175,28 @@ def test_license_scan(spark, docs, corpus, rows_of, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+MIT_GRANT = "Permission is hereby granted, free of charge, to any person\n{0}obtaining a copy of this software"
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (MIT_GRANT.format(" " * 14 + "* "), "mit"),
+        (MIT_GRANT.format("%% "), "mit"),
+        (MIT_GRANT.format("\n" * 500 + '"! '), "mit"),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0\nOR ISC", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 AND (ISC or MIT-0).", "gpl-2.0,isc,mit-0"),
+        ("x😀 spdx-license-identifier:\tbsd-3-clause\rSPDX-License-Identifier: Zlib and X11", "bsd-3-clause,x11,zlib"),
+        ("SPDX-License-Identifier: NOASSERTION", ""),
+    ],
+)
+def test_wide_gaps_and_whole_expressions(spark, text, labels):
+    found = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert found["labels"] == labels
+    assert tuple(found)[1:] == scan_expected(text)
+
+
 def test_rules_are_many_and_base_phrases_have_keywords():
     assert len(rules()) > 200 and len({r.label for r in rules()}) > 80
     for (phrase, _), keyword in zip(license_scan.BASE, license_scan.BASE_KEYWORDS, strict=True):
