@@ -766,3 +766,7 @@ ORACLE: dict[str, str] = {
         f" SELECT {_ORIGIN}, {_REVIEW_COLUMNS} FROM stream_reviews WHERE review_id IS NULL",
     ),
 }
+
+# The running results are those of the complete ones.
+ORACLE["stream_sentiment_running"] = ORACLE["stream_sentiment_counts"]
+ORACLE["stream_product_running"] = ORACLE["stream_product_scores"]

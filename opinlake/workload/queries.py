@@ -22,7 +22,7 @@ from opinlake.session import apply_lake_settings, materialize, scratch_path, spr
 from opinlake.sources import catalog as catalog_source
 from opinlake.sources import events as event_source
 from opinlake.sources import history_csv, silver
-from opinlake.streaming import jobs
+from opinlake.streaming import jobs, running
 from opinlake.workload import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -743,6 +743,28 @@ def stream_product_scores(spark, sf_dir):
     return _result_of(spark, scores, "product_scores")
 
 
+def _running(spark, sf_dir, report, name: str, schema: str) -> DataFrame:
+    """Several micro-batches, each stored as its sums only, some of them added up on the way."""
+    folder = scratch_path(spark, name)
+    tb.record_batch(spark, sf_dir).repartition(6, "offset").write.parquet(f"{folder}/records")
+    records = event_source.replay_stream(spark, f"{folder}/records", files_per_trigger=1)
+    out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+    jobs.finish(running.start_running(records, report, out, checkpoint, jobs.AVAILABLE_NOW))
+    return running.running_result(spark, report, out, schema)
+
+
+@query
+def stream_sentiment_running(spark, sf_dir):
+    schema = "sentiment string, review_count long"
+    return _running(spark, sf_dir, running.sentiment_report(), "sentiment_running", schema)
+
+
+@query
+def stream_product_running(spark, sf_dir):
+    schema = "product_id string, review_count long, average_score double"
+    return _running(spark, sf_dir, running.product_report(), "product_running", schema)
+
+
 @query
 def stream_enrich_catalog(spark, sf_dir):
     """Each micro-batch joined to the catalog as it is then."""
