@@ -19,7 +19,7 @@ from opinlake.sources.silver import (
     silver_preview,
     table_peek,
 )
-from opinlake.streaming import jobs
+from opinlake.streaming import fanout, jobs
 
 # What the raw report shows at most of each relation.
 SHOWN = 100
@@ -106,6 +106,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--database", default="reviews")
     parser.add_argument("--table", default="reviews_enriched")
     parser.add_argument("--catalog", help="path of the product catalog (Parquet)")
+    parser.add_argument("--on-bad", choices=["keep", "quarantine"], default="keep", help="malformed events")
     parser.add_argument("--load-id", help="id of a load, to repeat it if it fails")
     parser.add_argument("--keep", type=int, help="snapshots to keep, all if not given")
     names = {"type": lambda text: text.split(","), "metavar": "LANE[,LANE]"}
@@ -119,6 +120,7 @@ def main(arguments: list[str] | None = None) -> None:
 JOBS = {
     "ingest-history": lambda options: batch_ingest.main(options.load_id),
     "write-lake": lambda _: jobs.run_lake_writer(),
+    "write-lake-once": lambda options: fanout.run_fanout_writer(options.on_bad),
     "show-reviews": lambda _: jobs.run_console_reviews(),
     "show-reports": lambda _: jobs.run_console_reports(),
     "preview-silver": preview_silver,

@@ -51,6 +51,22 @@ class LakeLayout:
     def bronze_rejected(self) -> str:
         return f"{self.base}/bronze/reviews_rejected"
 
+    @property
+    def fanout(self) -> str:
+        return f"{self.base}/fanout"
+
+    @property
+    def fanout_bronze(self) -> str:
+        return f"{self.base}/bronze/reviews_fanout"
+
+    @property
+    def fanout_rejected(self) -> str:
+        return f"{self.base}/bronze/reviews_fanout_rejected"
+
+    @property
+    def fanout_silver(self) -> str:
+        return f"{self.base}/silver/reviews_fanout"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver/reviews_enriched"

@@ -12,6 +12,9 @@ from its log; let that be longer than the time between two compactions. A job th
 nothing visible and is simply run again, one at a time. Readers take the runs of the newest manifest
 and, from the log, the files that they do not cover. Runs that none of the `keep` newest manifests
 lists are deleted.
+
+The lane may also have been written by the query that has all sinks (`streaming/fanout.py`): the files
+of its visible micro-batches count as files of the log, and `forget_covered` deletes those that runs hold.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from opinlake import schemas
 from opinlake.layout import LakeLayout
+from opinlake.plans.micro_batches import read_fanout_silver, visible_folders
 from opinlake.session import child_names, delete_path, touch
 
 FANOUT = 4
@@ -62,7 +66,16 @@ def _folder(layout: LakeLayout, run: Run) -> str:
 
 
 def _lane(spark: SparkSession, layout: LakeLayout) -> DataFrame:
-    return spark.read.schema(schemas.SILVER).parquet(layout.silver_stream)
+    """What the file sink's log lists and what visible micro-batches of the fan-out hold. The sink's
+    folder may be missing if there are some of the latter, or runs that hold all of them."""
+    shared = read_fanout_silver(spark, layout)
+    try:
+        own = spark.read.schema(schemas.SILVER).parquet(layout.silver_stream)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND" or (shared is None and not _published(spark, layout)):
+            raise
+        own = spark.createDataFrame([], schemas.SILVER)
+    return own if shared is None else own.unionByName(shared)
 
 
 def _rows(spark: SparkSession, layout: LakeLayout, runs: Iterable[Run], files: Iterable[str]) -> DataFrame:
@@ -158,6 +171,20 @@ def read_parts(spark: SparkSession, layout: LakeLayout, runs: list[Run], files:
     return _rows(spark, layout, runs, files)
 
 
+def forget_covered(spark: SparkSession, layout: LakeLayout) -> int:
+    """Delete the fan-out's silver folders whose files every manifest that is kept covers, so that a
+    reader that began before the newest compaction keeps its files; returns their number. Not beside
+    external tables, which show the lanes' own files."""
+    held = [_covered(spark, layout, _runs_of(spark, layout, name)) for name in _published(spark, layout)]
+    gone = 0
+    for folder in visible_folders(spark, layout, layout.fanout_silver) if held else []:
+        files = spark.read.schema(schemas.SILVER).parquet(folder).inputFiles()
+        if all(path in covered for path in files for covered in held):
+            delete_path(spark, folder)
+            gone += 1
+    return gone
+
+
 def covered_share(spark: SparkSession, layout: LakeLayout) -> DataFrame:
     """How many files the lane has and how many of them runs cover: a sign when to compact."""
     files = _lane(spark, layout).inputFiles()

@@ -13,7 +13,7 @@ from opinlake.functions.times import to_plain_values
 from opinlake.layout import LakeLayout
 from opinlake.plans.compaction import read_stream_lane
 from opinlake.plans.loads import published_loads, read_loads
-
+from opinlake.plans.micro_batches import last_visible
 
 LANES = ("batch", "stream")
 
@@ -69,8 +69,8 @@ def union_lanes(first: DataFrame, *others: DataFrame) -> DataFrame:
 def create_external_tables(
     spark: SparkSession, layout: LakeLayout, database: str, view: str = "reviews_enriched"
 ) -> str:
-    """An external table and a view of its visible rows for each lane, and a view over both; returns
-    the name of the latter.
+    """An external table and a view of its visible rows for each lane and for the fan-out, if there
+    is one, and a view over all; returns the name of the latter.
 
     Dropping and creating again changes only the catalog, never the files. A lane not yet
     written is an empty table. The views hold the loads that are visible now: after further
@@ -85,12 +85,18 @@ def create_external_tables(
         "batch": (layout.silver_batch, f"{columns}, load STRING", "PARTITIONED BY (load)", kept),
         "stream": (layout.silver_stream, columns, "", "true"),
     }
+    last = last_visible(spark, layout)
+    if last is not None:
+        by_batch = (f"{columns}, batch BIGINT", "PARTITIONED BY (batch)", f"batch <= {last}")
+        lanes["fanout"] = (layout.fanout_silver, *by_batch)
     parts = []
     for lane, (path, fields, partitioned, shown) in lanes.items():
         files, part = f"{database}.{view}_{lane}_files", f"{database}.{view}_{lane}"
         spark.sql(f"DROP TABLE IF EXISTS {files}")
         spark.sql(f"CREATE TABLE {files} ({fields}) USING PARQUET {partitioned} LOCATION '{path}'")
-        if partitioned and loads:
+        if lane == "fanout":
+            spark.sql(f"ALTER TABLE {files} RECOVER PARTITIONS")
+        elif partitioned and loads:
             # The catalog keeps the list of partitions: visible loads only.
             listed = " ".join(f"PARTITION (load={load!r})" for load in loads)
             spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {listed}")

@@ -745,6 +745,7 @@ ORACLE: dict[str, str] = {
     "stream_parse": _PARSED,
     "stream_bronze": _BRONZE,
     "stream_silver": _STREAM_SILVER,
+    "stream_fanout": _STREAM_SILVER,
     "silver_compacted": _STREAM_SILVER,
     "stream_restart": _STREAM_SILVER,
     "stream_sentiment_counts": _with(

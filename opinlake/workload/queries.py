@@ -22,7 +22,7 @@ from opinlake.session import apply_lake_settings, materialize, scratch_path, spr
 from opinlake.sources import catalog as catalog_source
 from opinlake.sources import events as event_source
 from opinlake.sources import history_csv, silver
-from opinlake.streaming import jobs, running
+from opinlake.streaming import fanout, jobs, running
 from opinlake.workload import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -692,6 +692,22 @@ def stream_silver(spark, sf_dir):
     return silver.read_silver(spark, layout, ["stream"])
 
 
+@query
+def stream_fanout(spark, sf_dir):
+    """Silver of the query that has all sinks, one run of it compacted and its files gone."""
+    layout = LakeLayout(scratch_path(spark, "lake"))
+    folder = scratch_path(spark, "replay")
+    records = tb.record_batch(spark, sf_dir)
+    for third in range(3):
+        records.where(F.col("offset") % 3 == third).write.mode("append").parquet(folder)
+        stream = event_source.replay_stream(spark, folder)
+        jobs.finish(fanout.start_fanout(stream, layout, jobs.AVAILABLE_NOW))
+        if third == 1:
+            compaction.compact_stream_lane(spark, layout)
+            compaction.forget_covered(spark, layout)
+    return silver.read_silver(spark, layout, ["stream"])
+
+
 @query
 def silver_compacted(spark, sf_dir):
     """The stream lane, compacted, with more rows after that."""
