@@ -1,10 +1,12 @@
 """Near copies by the Jaccard similarity of their word shingles.
 
-Candidates come from MinHash: the smallest values of a text's shingles under `BANDS` x `BAND_ROWS`
-hash functions, equal in all rows of some band. Two texts of similarity 0.8 miss each other with a
-probability of 6e-5, of 0.85 with 4e-7; a SimHash close enough for that would have segments that
-select nothing (at 0.8 about 10 of 64 bits differ). Every candidate is then decided exactly, from
-the whole sets of shingles, so nothing less similar is ever linked.
+Candidates come from the SimHash index of `simhash.py`: texts whose fingerprints are connected over
+links of at most two bits share a bucket. At 0.8 about 10 of 64 bits differ, and segments for that many
+would select nothing, so pairs the index cannot reach come from MinHash: the smallest values of a text's
+shingles under `BANDS` x `BAND_ROWS` hash functions, equal in all rows of some band, share a bucket too.
+Two texts of similarity 0.8 miss each other there with a probability of 6e-5, of 0.85 with 4e-7. Every
+candidate of either kind is then decided exactly, from the whole sets of shingles, so nothing less
+similar is ever linked.
 
 Only distinct texts are indexed, by a 64-bit hash of the text; buckets with the same members count
 once. Members of a bucket are dealt by hash into blocks of about `BLOCK` texts and `BLOCK_SHINGLES`
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinlake.llm import simhash
 from opinlake.llm.batches import by_size, hand_back, map_slices
 from opinlake.llm.components import connected_components
 from opinlake.session import materialize
@@ -89,15 +92,29 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _keys(docs: DataFrame, words: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, made = [], []
+        sizes, made, prints = [], [], []
         for text in batch.column(2).to_pylist():
             found = shingles(text, words)
             sizes.append(len(found))
             made.append(band_keys(found).view(np.int64))
-        columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(made, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "keys"])
+            prints.append(simhash.fingerprint(text, words))
+        columns = [
+            batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(made, pa.list_(pa.int64())),
+            pa.array(np.array(prints, "<u8").view("<i8")),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "keys", "fp"])
 
-    return map_slices(_texts(docs), work, "doc_id long, node long, size long, keys array<long>")
+    return map_slices(_texts(docs), work, "doc_id long, node long, size long, keys array<long>, fp long")
+
+
+def _with_simhash(indexed: DataFrame) -> DataFrame:
+    """One more key for each text: the component of its fingerprint in the SimHash index. Texts that no
+    other is near have a bucket of their own, as with any key."""
+    nodes = materialize(indexed.select("fp").distinct(), "near_fingerprints")
+    roots = connected_components(simhash.links(nodes)).select(F.col("node").alias("fp"), "root")
+    keyed = indexed.join(roots, "fp", "left")
+    key = F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp"))
+    return keyed.select("node", "size", F.concat("keys", F.array(key)).alias("keys"))
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -237,7 +254,8 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     """doc_id and text hash (`node`) of all rows that are not the first of their component: that
     with the smallest doc_id, rows without one last."""
     own = materialize(_keys(docs, words), "near_keys")
-    indexed = own.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+    indexed = own.groupBy("node").agg(*(F.first(name).alias(name) for name in ("size", "keys", "fp")))
+    indexed = materialize(_with_simhash(indexed), "near_index")
     roots = connected_components(links(docs, indexed, words, similarity))
     # A text without a near copy is a component of its own, with all rows that repeat it.
     rooted = own.select("doc_id", "node").join(roots, "node", "left")
