@@ -15,12 +15,22 @@ from opinlake.session import lake_session, with_settings
 from opinlake.sources.history_csv import read_history_csv
 
 
-# Texts are measured behind the shuffle, so a small load must not end up in one task.
+# Texts are measured behind the shuffle, so a small load must not end up in one task. Bronze is read in
+# small parts, as its files are compressed.
 _SPREAD = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8m",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
+# Ranges of time hold equally many rows, so a stretch of long texts needs many of them. Adaptive execution
+# puts those of short texts together again; it knows their sizes up to EXACT_SIZES partitions, so beyond
+# that ranges get larger, up to LARGEST_RANGE rows.
+RANGE_ROWS, LARGEST_RANGE, EXACT_SIZES = 1 << 14, 1 << 16, 2000
+
+# Compressed text is read by one task a file.
+_BRONZE = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+
 
 @dataclass(frozen=True)
 class IngestAudit:
@@ -62,11 +72,11 @@ def ingest_history(raw: DataFrame, layout: LakeLayout, load_id: str | None = Non
 
     bronze, silver = folder_of(layout.bronze_batch, load), folder_of(layout.silver_batch, load)
     cleaned = observed(clean_history(observed(raw, "raw")), "cleaned")
-    cleaned.write.mode("overwrite").json(bronze)
+    cleaned.write.mode("overwrite").options(**_BRONZE).json(bronze)
     stored = spark.read.schema(schemas.HISTORY_CSV).json(bronze)
     at = stored.withColumn("_at", created_at())
     by_time = at.repartitionByRange("_at").sortWithinPartitions("_at").drop("_at")
-    with with_settings(spark, _SPREAD):
+    with with_settings(spark, _SPREAD | _ranges(spark, counts["cleaned"].get["rows"])):
         observed(history_to_silver(by_time), "written").write.mode("overwrite").parquet(silver)
     audit = IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
     audit.to_frame(spark).coalesce(1).write.mode("overwrite").json(folder_of(audits, load))
@@ -74,6 +84,13 @@ def ingest_history(raw: DataFrame, layout: LakeLayout, load_id: str | None = Non
     return audit
 
 
+def _ranges(spark: SparkSession, rows: int) -> dict[str, str]:
+    """Enough shuffle partitions for so many rows."""
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(min(rows // RANGE_ROWS, EXACT_SIZES), rows // LARGEST_RANGE)
+    return {"spark.sql.shuffle.partitions": str(max(given, ranges))}
+
+
 def main(load_id: str | None = None) -> None:
     spark, layout = lake_session("opinlake-history")
     path = history_csv_path()

@@ -250,8 +250,12 @@ def record_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream, turned into Kafka records on the way. The path is
     a pattern because a stream takes a single file, unlike a folder, only by pattern."""
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    stored = table(spark, sf_dir, "events")
+    events = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events.parque[t]")
+    # As `spread` does: few large files would keep encoding and decoding on as many tasks.
+    cores = spark.sparkContext.defaultParallelism
+    if stored.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores, "event_id")
     return kafka_records(events)
 
 

@@ -1,3 +1,5 @@
+import base64
+import random
 from datetime import datetime
 
 import pytest
@@ -279,3 +281,19 @@ def test_load_ids_are_names(spark, sample_csv, tmp_path):
 def test_whole_numbers(spark, text, number):
     row = spark.createDataFrame([(text,)], "t string").select(cleaning.whole_number(F.col("t"), "bigint"))
     assert row.first()[0] == number
+
+
+def test_a_stretch_of_long_texts_is_dealt_out(spark, tmp_path, monkeypatch):
+    """Ranges hold equally many rows: with a number that does not grow, all long texts fell into one."""
+    monkeypatch.setattr(batch_ingest, "RANGE_ROWS", 30, raising=False)
+    rnd = random.Random(3)
+    rows = [("1", "P1", "U1", "5", str(1000 + k), "short") for k in range(400)]
+    rows += [("2", "P1", "U1", "5", str(9000 + k), base64.b64encode(rnd.randbytes(250_000)).decode()) for k in range(120)]
+    layout = LakeLayout(str(tmp_path / "lake"))
+    audit = ingest_history(raw(spark, *rows), layout)
+    assert audit.written_rows == 520
+    silver = read_silver(spark, layout, ["batch"])
+    files = silver.where("text_length > 10").select(F.input_file_name()).distinct().count()
+    assert files > 1
+    bronze = [p.name for p in (tmp_path / "lake").rglob("part-*") if "bronze" in str(p)]
+    assert bronze and all(name.endswith(".json.gz") for name in bronze)
