@@ -17,7 +17,8 @@ def drop_repeats(reviews: DataFrame) -> DataFrame:
     """
     names = reviews.columns
     first = [name for name in ("created_at", "kafka_timestamp", "offset") if name in names]
-    order = [*first, *(name for name in names if name not in first)]
+    # The keys are equal in a group: they settle nothing and need not move twice.
+    order = [*first, *(name for name in names if name not in (*first, *REVIEW_KEY))]
     known = reviews.where(F.col("review_id").isNotNull())
     # NULL sorts before every value in a struct: a missing time does not win over a known one.
     ranked = F.struct(
@@ -26,7 +27,9 @@ def drop_repeats(reviews: DataFrame) -> DataFrame:
     kept = known.groupBy(*(F.col(key).alias(f"key_{key}") for key in REVIEW_KEY)).agg(
         F.min(ranked).alias("row")
     )
-    kept = kept.select(*(F.col(f"row.`{name}`").alias(name) for name in names))
+    kept = kept.select(
+        *(F.col(f"key_{name}" if name in REVIEW_KEY else f"row.`{name}`").alias(name) for name in names)
+    )
     return kept.unionAll(reviews.where(F.col("review_id").isNull()))
 
 
