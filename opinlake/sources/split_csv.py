@@ -54,10 +54,12 @@ def _openings(lines: DataFrame) -> tuple[dict[tuple[int, int], int], set[int], b
 
 
 class _Cutter:
-    """Lines of one range, joined to records as they come."""
+    """Lines of one range, joined to records as they come; with `pieces`, only a first record that
+    began before the range and a last one that goes on after it."""
 
-    def __init__(self, file: int, block: int, opened: int, with_cr: bool) -> None:
+    def __init__(self, file: int, block: int, opened: int, with_cr: bool, pieces: bool) -> None:
         self.file, self.block, self.opened, self.with_cr = file, block, opened, with_cr
+        self.pieces = pieces
         self.head, self.first = bool(opened), block == 0
         self.held: list[pa.Array] = []
 
@@ -83,7 +85,12 @@ class _Cutter:
         inside = (self.opened + np.cumsum(quotes)) % 2
         self.opened = int(inside[-1])
         ends = np.flatnonzero(inside == 0) + 1
-        if len(ends):
+        if len(ends) and self.pieces and not self.head:
+            self.held, self.first = [], False
+            lines = lines.slice(int(ends[-1]))
+        elif len(ends):
+            last = int(ends[-1])
+            ends = ends[:1] if self.pieces else ends
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             grouped = pa.ListArray.from_arrays(offsets, lines.slice(0, int(ends[-1])))
             records = pc.binary_join(grouped, "\n")
@@ -94,7 +101,7 @@ class _Cutter:
                 )
             yield self._batch(records, _HEAD if self.head else None)
             self.head, self.held = False, []
-            lines = lines.slice(int(ends[-1]))
+            lines = lines.slice(last)
         if len(lines):
             self.held.append(lines)
 
@@ -105,7 +112,9 @@ class _Cutter:
             yield self._batch(pa.array([text], pa.string()), _HEAD if self.head else _TAIL)
 
 
-def _cut(lines: DataFrame, starts: dict[tuple[int, int], int], with_cr: set[int]) -> DataFrame:
+def _cut(
+    lines: DataFrame, starts: dict[tuple[int, int], int], with_cr: set[int], pieces: bool
+) -> DataFrame:
     known = lines.sparkSession.sparkContext.broadcast((starts, with_cr))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +132,7 @@ def _cut(lines: DataFrame, starts: dict[tuple[int, int], int], with_cr: set[int]
                         yield from cutter.end()
                     if own not in starts:
                         raise RuntimeError("files or ranges have changed while they were read")
-                    cutter = _Cutter(*own, starts[own], own[0] in with_cr)
+                    cutter = _Cutter(*own, starts[own], own[0] in with_cr, pieces)
                 yield from cutter.add(batch.column(0).slice(int(a), int(b - a)))
         if cutter is not None:
             yield from cutter.end()
@@ -147,10 +156,10 @@ def read_split_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     ranges."""
     lines = _lines(spark, path)
     starts, with_cr, in_pieces = _openings(lines)
-    cut = _cut(lines, starts, with_cr)
-    records = cut.where("piece IS NULL AND NOT first").select("record")
+    records = _cut(lines, starts, with_cr, False).where("piece IS NULL AND NOT first").select("record")
     if in_pieces:
-        joined = _join_pieces(cut.where("piece IS NOT NULL"))
+        pieces = _cut(lines, starts, with_cr, True)
+        joined = _join_pieces(pieces.where("piece IS NOT NULL"))
         records = records.union(joined.where("NOT first").select("record"))
     record = F.col("record")
     options = {"escape": '"', "multiLine": "true"}

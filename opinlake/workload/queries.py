@@ -54,15 +54,18 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], ob
     return _written[key]
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_folder(spark: SparkSession, sf_dir: str) -> str:
     """The raw historical rows as a landing table."""
 
     def write(path: str) -> str:
         spread(tb.history_rows(spark, sf_dir)).write.parquet(path)
         return path
 
-    path = _once(spark, sf_dir, "history", write)
-    return spark.read.schema(schemas.HISTORY_CSV).parquet(path)
+    return _once(spark, sf_dir, "history", write)
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(schemas.HISTORY_CSV).parquet(history_folder(spark, sf_dir))
 
 
 def history_csv_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -117,12 +120,20 @@ def csv_scan(spark, sf_dir):
     return history_csv.read_history_csv(spark, history_csv_folder(spark, sf_dir))
 
 
+# What the single writer of a large CSV file reads of the landing table, at most about.
+LARGE_FILE_BYTES = 128 << 20
+
+
 @query
 def csv_scan_split(spark, sf_dir):
-    """The same rows exported as one file, which many tasks read."""
+    """The same rows exported as one file, or a few large ones, each of which many tasks read."""
 
     def write(path: str) -> str:
-        tb.write_history_csv(history(spark, sf_dir).coalesce(1), path)
+        # A file has one writer, which must not grow with the table.
+        stored = spark.read.format("binaryFile").load(f"{history_folder(spark, sf_dir)}/*.parquet")
+        total = stored.agg(F.sum("length")).first()[0] or 0
+        files = max(1, -(-total // LARGE_FILE_BYTES))
+        tb.write_history_csv(history(spark, sf_dir).coalesce(files), path)
         return path
 
     folder = _once(spark, sf_dir, "history_one_csv", write)

@@ -68,3 +68,20 @@ def test_an_empty_file_and_a_header_alone(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     (tmp_path / "b.csv").write_text(",".join(NAMES))
     assert read(spark, str(tmp_path), 100, True)[0] == []
+
+
+def test_the_scan_for_pieces_makes_no_other_records(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text(export(7, 300), encoding="utf-8", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1009)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        lines = split_csv._lines(spark, str(path))
+        starts, with_cr, _ = split_csv._openings(lines)
+        all_records = split_csv._cut(lines, starts, with_cr, False)
+        pieces = sorted(map(tuple, split_csv._cut(lines, starts, with_cr, True).collect()), key=repr)
+        assert pieces == sorted(map(tuple, all_records.where("piece IS NOT NULL").collect()), key=repr)
+        assert 0 < len(pieces) < all_records.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -11,6 +11,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as driver  # noqa: E402
 
+from opinlake.workload import queries as workload  # noqa: E402
+from opinlake.workload import tables  # noqa: E402
 from opinlake.workload.oracle import ORACLE  # noqa: E402
 from opinlake.workload.queries import QUERIES  # noqa: E402
 
@@ -72,3 +74,17 @@ def test_the_package_imports_without_a_session():
         [sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True
     )
     assert int(done.stdout) > 70
+
+
+def test_no_writer_of_a_csv_export_has_the_whole_table(spark, monkeypatch):
+    # A path of its own: exports are kept by path.
+    monkeypatch.setattr(workload, "LARGE_FILE_BYTES", 50_000, raising=False)
+    rows = QUERIES["csv_scan_split"](spark, "/root/../root/testdata/sf0.001")
+    assert rows.select("*").count() == QUERIES["csv_scan"](spark, DATA).count()
+    key = (spark.sparkContext.applicationId, "/root/../root/testdata/sf0.001", "history_one_csv")
+    assert len(list(Path(workload._written[key]).glob("part-*.csv"))) > 1
+
+
+def test_a_stream_of_few_files_is_decoded_by_every_core(spark):
+    plan = tables.record_stream(spark, DATA)._jdf.queryExecution().logical().toString()
+    assert "Repartition" in plan
