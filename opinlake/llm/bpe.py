@@ -391,7 +391,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     # Ids as text and decoded text are held, too.
-    return map_slices(_keyed(docs), work, schema, limit=SLICE_BYTES // 2)
+    return map_slices(_keyed(docs), work, schema, limit=SLICE_BYTES // 4)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

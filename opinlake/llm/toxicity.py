@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinlake.llm.batches import SLICE_BYTES, as_bytes, by_size, map_slices
+from opinlake.llm.batches import SLICE_BYTES, as_bytes, by_size, hand_back, map_slices
 from opinlake.llm.labelled import MAX_LABELLED, fold, labelled_texts
 from opinlake.llm.text_stats import STATS, TOXIC_STATS, measure
 from opinlake.llm.trees import Boosted, boost, isotonic
@@ -36,6 +36,8 @@ THRESHOLD = 0.7
 LEXICON_SIZE = 2_000  # learned entries at most, the surest first
 STEM_LENGTHS = (3, 4, 5, 6)
 SURE = 0.85
+# Bytes of text measured at a time: measuring holds some fifty bytes for each of them.
+MEASURED_BYTES = SLICE_BYTES // 8
 
 # Insults known beforehand: fixed values.
 INSULTS = frozenset(
@@ -75,6 +77,7 @@ def count_terms(sample: DataFrame) -> DataFrame:
                         [pa.array([number] * len(terms), pa.int32()), pa.array(terms, pa.string()), *columns],
                         ["fold", "term", "toxic", "clean"],
                     )
+        hand_back()
 
     distinct = sample.groupBy("text").agg(F.min("fold").alias("fold"), F.max("label").alias("label"))
     counted = distinct.mapInArrow(run, "fold int, term string, toxic long, clean long")
@@ -92,6 +95,16 @@ def learn_lexicon(counted: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
     return Lexicon(INSULTS | frozenset(t for t in found if not t.endswith("*")), stems)
 
 
+def _measured(texts: list[bytes], lexicon: Lexicon) -> np.ndarray:
+    """`measure`, whose rows depend on their own text only, over a bounded part of the texts at a time."""
+    ends, cuts = np.cumsum([len(t) for t in texts]), [0]
+    while cuts[-1] < len(texts):
+        before = ends[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, before + MEASURED_BYTES, "right"))))
+    parts = [measure(texts[a:b], lexicon) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return np.concatenate(parts) if parts else measure([], lexicon)
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
@@ -99,7 +112,7 @@ class ToxicityModel:
     points: tuple[np.ndarray, np.ndarray]
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        margin = self.trees.margin(measure(texts, self.lexicon))
+        margin = self.trees.margin(_measured(texts, self.lexicon))
         return np.clip(np.interp(margin, *self.points), 0, 1)
 
 
@@ -114,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Toxici
         stats = np.zeros((len(texts), len(STATS) + len(TOXIC_STATS)))
         for number, lexicon in others.items():
             own = [k for k, f in enumerate(folds) if f == number]
-            stats[own] = measure([texts[k] for k in own], lexicon)
+            stats[own] = _measured([texts[k] for k in own], lexicon)
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(stats) + 1) * stats.shape[1], pa.int32()), pa.array(stats.ravel())
         )

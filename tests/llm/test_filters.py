@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -257,6 +258,23 @@ def test_rule_columns_equal_their_arrays(spark):
     )
 
 
+def test_texts_are_scored_in_bounded_memory():
+    """Whole documents of 3 MB together: the arrays behind a score do not grow with the batch."""
+    texts = [prose(k, 400).encode() for k in range(1500)] + [b"", prose(7, 2000).encode()]
+    lexicon = toxicity.Lexicon(toxicity.INSULTS, frozenset())
+    x = measure(texts[:200], lexicon)
+    trees = boost(x, (np.arange(len(x)) % 3 == 0).astype(float))
+    model = toxicity.ToxicityModel(lexicon, trees, (np.array([-9.0, 9.0]), np.array([0.0, 1.0])))
+    tracemalloc.start()
+    scores = model.score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * 2**20
+    one_by_one = [model.score([text])[0] for text in texts[::50]]
+    assert np.allclose(scores[::50], one_by_one, rtol=0, atol=1e-12)
+    assert len(scores) == len(texts) and len(model.score([])) == 0
+
+
 def test_drop_toxic_keeps_columns_and_clean_rows(spark):
     docs, labels = labelled_corpus(spark)
     kept = toxicity.drop_toxic(docs, labels)
