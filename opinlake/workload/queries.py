@@ -572,29 +572,44 @@ def dashboard_by_report(spark, sf_dir):
     return one_relation(db.dashboard_by_report(rows, tb.catalog(spark, sf_dir)))
 
 
+def _load_part(spark, sf_dir, layout: LakeLayout, part: int) -> None:
+    """One of three loads that hold the historical rows."""
+    rows = history(spark, sf_dir)
+    number = F.pmod(F.xxhash64("Id", "Time", "Text"), F.lit(3))
+    batch_ingest.ingest_history(rows.where(number == part), layout, f"part-{part}")
+
+
+def _three_loads(spark, sf_dir) -> LakeLayout:
+    """The batch lane only, as three loads: audits know no stream."""
+
+    def write(path: str) -> LakeLayout:
+        layout = LakeLayout(path)
+        for part in range(3):
+            _load_part(spark, sf_dir, layout, part)
+        return layout
+
+    return _once(spark, sf_dir, "three_loads", write)
+
+
 def _in_loads(spark, sf_dir) -> LakeLayout:
     """The same silver as three loads, and a stream lane with a run and files after it. Partials are
     there for two loads and the run."""
 
     def write(path: str) -> LakeLayout:
         layout, replay = LakeLayout(path), f"{path}/replay"
-        rows, records = history(spark, sf_dir), tb.record_batch(spark, sf_dir)
-        number = F.pmod(F.xxhash64("Id", "Time", "Text"), F.lit(3))
-
-        def load(part: int) -> None:
-            batch_ingest.ingest_history(rows.where(number == part), layout, f"part-{part}")
+        records = tb.record_batch(spark, sf_dir)
 
         def receive(half: int) -> None:
             records.where(F.col("offset") % 2 == half).write.mode("append").parquet(replay)
             stream = event_source.replay_stream(spark, replay)
             jobs.finish(jobs.start_silver(stream, layout, jobs.AVAILABLE_NOW))
 
-        load(0)
-        load(1)
+        _load_part(spark, sf_dir, layout, 0)
+        _load_part(spark, sf_dir, layout, 1)
         receive(0)
         compaction.compact_stream_lane(spark, layout)
         partials.refresh_partials(spark, layout)
-        load(2)
+        _load_part(spark, sf_dir, layout, 2)
         receive(1)
         return layout
 
@@ -611,7 +626,7 @@ def dashboard_incremental(spark, sf_dir):
 @query
 def load_audits(spark, sf_dir):
     """What was counted in the three loads."""
-    audits = loads.load_audits(spark, _in_loads(spark, sf_dir)).drop("load")
+    audits = loads.load_audits(spark, _three_loads(spark, sf_dir)).drop("load")
     return audits.agg(*(F.sum(name).cast("bigint").alias(name) for name in audits.columns))
 
 

@@ -88,3 +88,17 @@ def test_no_writer_of_a_csv_export_has_the_whole_table(spark, monkeypatch):
 def test_a_stream_of_few_files_is_decoded_by_every_core(spark):
     plan = tables.record_stream(spark, DATA)._jdf.queryExecution().logical().toString()
     assert "Repartition" in plan
+
+
+def test_audits_of_loads_need_no_stream(spark, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("audits are of the batch lane")
+
+    monkeypatch.setattr(workload.jobs, "start_silver", never)
+    monkeypatch.setattr(workload.partials, "refresh_partials", never)
+    # A path of its own: lakes are kept by path.
+    audits = QUERIES["load_audits"](spark, "/root/../root/testdata/sf0.001").first()
+    assert audits == QUERIES["load_audits"](spark, DATA).first()
+    rows = workload.history(spark, DATA)
+    kept = workload.cleaning.clean_history(rows).count()
+    assert tuple(audits) == (rows.count(), kept, kept)
