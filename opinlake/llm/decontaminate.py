@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinlake.llm.batches import as_bytes, hand_back, map_slices
-from opinlake.session import materialize, scratch_path
+from opinlake.session import materialize, scratch_path, with_settings
 
 WINDOW = 10
 SLICE_WORDS = 2_000_000  # words of test windows in one pass, some 30 MB in a task
@@ -45,6 +45,13 @@ SEGMENT_SCHEMA = (
     " counts binary, positions binary"
 )
 
+# A segment is a row group of its own, and so a page. The writer asks for sizes only every 100 rows, by which
+# it would hold hundreds of MB, and Spark's reader holds all rows of a group, up to 4,096, at once.
+_SEGMENTS = {"parquet.block.row.count.limit": "1"}
+# And a task gets one at a time; by default as many as make 64 MB, which are held outside the heap and again
+# in Python.
+_ONE_BY_ONE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+
 
 def _word_bytes() -> np.ndarray:
     kinds = np.zeros(256, bool)  # 0-9, a-z and every byte of a character beyond ASCII
@@ -100,7 +107,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     slim = as_bytes(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "positional_index")
-    map_slices(slim, work, SEGMENT_SCHEMA).write.parquet(path)
+    map_slices(slim, work, SEGMENT_SCHEMA).write.options(**_SEGMENTS).parquet(path)
     return spark.read.schema(SEGMENT_SCHEMA).parquet(path)
 
 
@@ -170,7 +177,7 @@ def match_segment(
 def search(index: DataFrame, tests: Windows, slack: int = 0) -> DataFrame:
     """One row for each document of the index: doc_id, text_hash, n_words, the merged spans of words inside
     any match (`starts`, `stops`; for proximity the span where the phrase would be), and the items
-    that match."""
+    that match. A written table, as segments are handed to tasks by a setting of the session."""
     shared = index.sparkSession.sparkContext.broadcast(tests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,11 +186,13 @@ def search(index: DataFrame, tests: Windows, slack: int = 0) -> DataFrame:
                 yield _search_segment(batch.slice(k, 1), shared.value, slack)
         hand_back()
 
-    return index.mapInArrow(
+    found = index.mapInArrow(
         run,
         "doc_id long, text_hash long, n_words long, starts array<int>, stops array<int>,"
         " items array<long>",
     )
+    with with_settings(index.sparkSession, _ONE_BY_ONE):
+        return materialize(found, "slice_matches")
 
 
 def _search_segment(row: pa.RecordBatch, tests: Windows, slack: int) -> pa.RecordBatch:
@@ -268,7 +277,6 @@ def _combine(found: list[DataFrame]) -> DataFrame:
     the document's own length, and rows of equal id and text are counted and given back."""
     whole = None
     for part in found:
-        part = materialize(part, "slice_matches")
         whole = part if whole is None else whole.union(part)
     count = F.lit(len(found))
     merged = whole.groupBy("doc_id", "text_hash", "n_words").agg(

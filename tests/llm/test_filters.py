@@ -5,6 +5,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,26 @@ def test_proximity(spark):
     assert exact == {1: [], 2: [7], 3: []}
 
 
+def test_a_segment_is_held_alone(spark, monkeypatch):
+    """A file of the index has a row group for each segment, and a task gets one segment at a time."""
+    texts = [(k, f"word{k} other " * 350_000) for k in range(3)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    index = decontaminate.build_index(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert [f.num_row_groups for f in files] == [f.num_rows for f in files] == [3]
+    held = spark.sparkContext.accumulator(0)
+    whole = decontaminate._search_segment
+
+    def counted(row, *rest):
+        held.add(int(row.column(3).offset == 0))  # not a slice of a larger batch
+        return whole(row, *rest)
+
+    monkeypatch.setattr(decontaminate, "_search_segment", counted)
+    tests = decontaminate.cut_windows([(1, b"word1 other word1")])
+    found = {r["doc_id"]: r["items"] for r in decontaminate.search(index, tests).collect()}
+    assert found == {0: [], 1: [1], 2: []} and held.value == 3
+
+
 # -- licenses
 
 NOTICES = [
