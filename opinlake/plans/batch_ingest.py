@@ -11,7 +11,7 @@ from opinlake import schemas
 from opinlake.layout import LakeLayout, history_csv_path
 from opinlake.operators.cleaning import clean_history, created_at, history_to_silver
 from opinlake.plans.loads import AUDIT_SCHEMA, folder_of, load_name, publish_load, published_loads
-from opinlake.session import lake_session, with_settings
+from opinlake.session import FREE_SHUFFLES, lake_session, with_settings
 from opinlake.sources.history_csv import read_history_csv
 
 
@@ -31,6 +31,9 @@ RANGE_ROWS, LARGEST_RANGE, EXACT_SIZES = 1 << 14, 1 << 16, 2000
 # Compressed text is read by one task a file.
 _BRONZE = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
 
+# Whatever the session's codec: texts hardly get smaller with the default one.
+_SILVER = {"compression": "zstd"}
+
 
 @dataclass(frozen=True)
 class IngestAudit:
@@ -76,8 +79,10 @@ def ingest_history(raw: DataFrame, layout: LakeLayout, load_id: str | None = Non
     stored = spark.read.schema(schemas.HISTORY_CSV).json(bronze)
     at = stored.withColumn("_at", created_at())
     by_time = at.repartitionByRange("_at").sortWithinPartitions("_at").drop("_at")
-    with with_settings(spark, _SPREAD | _ranges(spark, counts["cleaned"].get["rows"])):
-        observed(history_to_silver(by_time), "written").write.mode("overwrite").parquet(silver)
+    ranges = _ranges(spark, counts["cleaned"].get["rows"])
+    with with_settings(spark, _SPREAD | ranges | FREE_SHUFFLES):
+        written = observed(history_to_silver(by_time), "written")
+        written.write.mode("overwrite").options(**_SILVER).parquet(silver)
     audit = IngestAudit(*(counts[name].get["rows"] for name in ("raw", "cleaned", "written")))
     audit.to_frame(spark).coalesce(1).write.mode("overwrite").json(folder_of(audits, load))
     publish_load(spark, layout, load)

@@ -34,6 +34,10 @@ CLUSTER_SETTINGS = {
     ),
 }
 
+# Files of a shuffle go when what was made of it is written; else they stay until the driver happens to
+# collect its garbage.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def build_session(
     app_name: str, master: str | None = None, settings: dict[str, str] | None = None

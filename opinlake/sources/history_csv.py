@@ -15,6 +15,8 @@ from opinlake.sources.split_csv import read_split_csv
 # Fixed value: the source label of sample rows.
 SAMPLE_SOURCE = "sample_csv"
 
+_COMPRESSED = r"(?i)\.(gz|bz2|deflate|lz4|snappy|zst)$"
+
 
 def _csv_reader(spark: SparkSession, schema: StructType, multi_line: bool):
     return (
@@ -26,8 +28,10 @@ def _csv_reader(spark: SparkSession, schema: StructType, multi_line: bool):
 
 
 def _has_large_file(spark: SparkSession, path: str) -> bool:
-    """Whether a file is larger than what a task should read. Only names and sizes are looked at."""
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()
+    """Whether a file is larger than what a task should read, and not compressed: those have no ranges
+    to be read from. Only names and sizes are looked at."""
+    files = spark.read.format("binaryFile").load(path).where(~F.col("path").rlike(_COMPRESSED))
+    sizes = files.agg(F.max("length")).first()
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
     most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
     return (sizes[0] or 0) > most
@@ -39,7 +43,8 @@ def read_history_csv(
     """Raw rows, every column as text.
 
     With `multi_line` quoted fields may hold line breaks. Files larger than a task's share are then
-    read in parts (see `split_csv`), others by one task each; `split` settles it by hand. Files
+    read in parts (see `split_csv`), others and compressed ones by one task each; `split` settles it by
+    hand. Files
     without such fields can be read with `multi_line=False` and split freely.
     """
     if multi_line and (_has_large_file(spark, path) if split is None else split):

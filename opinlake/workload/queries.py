@@ -58,7 +58,7 @@ def history_folder(spark: SparkSession, sf_dir: str) -> str:
     """The raw historical rows as a landing table."""
 
     def write(path: str) -> str:
-        spread(tb.history_rows(spark, sf_dir)).write.parquet(path)
+        spread(tb.history_rows(spark, sf_dir)).write.option("compression", "zstd").parquet(path)
         return path
 
     return _once(spark, sf_dir, "history", write)
@@ -69,10 +69,10 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The same rows as CSV files."""
+    """The same rows as compressed CSV files."""
 
     def write(path: str) -> str:
-        tb.write_history_csv(history(spark, sf_dir), path)
+        tb.write_history_csv(history(spark, sf_dir), path, tb.COMPRESSED_CSV)
         return path
 
     return _once(spark, sf_dir, "history_csv", write)

@@ -259,7 +259,13 @@ def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kafka_records(events)
 
 
-def write_history_csv(rows: DataFrame, path: str) -> None:
+# A compressed file is read by one task, so it must not be large.
+COMPRESSED_CSV = {
+    "compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000",
+}
+
+
+def write_history_csv(rows: DataFrame, path: str, options: dict[str, str] | None = None) -> None:
     """As many files as the rows have partitions, blanks and quotes kept."""
     (
         rows.select(*schemas.HISTORY_CSV.fieldNames())
@@ -267,5 +273,6 @@ def write_history_csv(rows: DataFrame, path: str) -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**(options or {}))
         .csv(path)
     )

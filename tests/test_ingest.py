@@ -2,6 +2,7 @@ import base64
 import random
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,6 +13,7 @@ from opinlake.layout import LakeLayout
 from opinlake.operators import cleaning, dedup
 from opinlake.plans import batch_ingest, loads
 from opinlake.plans.batch_ingest import ingest_history
+from opinlake.session import with_settings
 from opinlake.sources.history_csv import read_history_csv, read_sample_csv
 from opinlake.sources.silver import (
     MissingLane,
@@ -24,6 +26,7 @@ from opinlake.sources.silver import (
     silver_preview,
     table_peek,
 )
+from opinlake.workload import tables
 from tests.sample import HEADER, ROWS, csv_text
 
 
@@ -103,6 +106,22 @@ def test_ingest_writes_both_layers_and_counts(spark, sample_csv, tmp_path):
     ]
 
 
+def test_what_a_load_stores_is_compressed_whatever_the_session(spark, sample_csv, tmp_path):
+    layout, work = LakeLayout(str(tmp_path / "lake")), tmp_path / "gz"
+    ingest_history(read_history_csv(spark, sample_csv), layout)
+    files = list((tmp_path / "lake/silver").rglob("*.parquet"))
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    assert codecs == {"ZSTD"}
+    # A large compressed file has no ranges: it is read as it is, not in parts.
+    raw = read_history_csv(spark, sample_csv)
+    tables.write_history_csv(raw.coalesce(1), str(work), tables.COMPRESSED_CSV)
+    assert [p.suffix for p in work.glob("part-*")] == [".gz"]
+    with with_settings(spark, {"spark.sql.files.maxPartitionBytes": "64"}):
+        again = read_history_csv(spark, str(work))
+        assert "MapInArrow" not in again._jdf.queryExecution().toString()
+        assert sorted(map(str, again.collect())) == sorted(map(str, raw.collect()))
+
+
 def test_a_second_run_appends_and_dedup_undoes_it(spark, sample_csv, tmp_path):
     layout = LakeLayout(str(tmp_path / "lake"))
     for _ in range(2):
