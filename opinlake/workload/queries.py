@@ -272,7 +272,7 @@ def batch_dedup(spark, sf_dir):
     """Both lanes loaded twice hold every review twice, and some ids in both lanes; one row of
     each is left, and all rows without an id."""
     rows = lake_silver(spark, sf_dir)
-    return dedup.drop_repeats(rows.unionAll(rows))
+    return dedup.drop_repeats_in_rounds(rows.unionAll(rows))
 
 
 # --- events -------------------------------------------------------------------------

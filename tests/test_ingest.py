@@ -209,6 +209,32 @@ def test_dedup_keeps_rows_without_an_id_and_the_earliest(make_silver):
     assert sorted(r.text for r in once.collect()) == ["early", "one", "one", "other source"]
 
 
+def test_dedup_in_rounds_frees_each_before_the_next(make_silver, spark, monkeypatch):
+    """Of a table beyond a round's size, no round but the last is left to be shuffled with the others."""
+    rows = [
+        {"review_id": None if k % 11 == 0 else str(k % 40), "source": [None, "web", "x"][k % 3], "text": f"t{k % 7}"}
+        for k in range(400)
+    ]
+    silver = make_silver(rows)
+    silver = silver.unionAll(silver)
+    rows_of = lambda frame: sorted(map(str, frame.collect()))
+    assert dedup.drop_repeats_in_rounds(silver, round_bytes=1 << 40).inputFiles() == []
+    seen = []
+    whole = dedup.materialize
+
+    def watched(part, name):
+        seen.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        return whole(part, name)
+
+    monkeypatch.setattr(dedup, "materialize", watched)
+    once = dedup.drop_repeats_in_rounds(silver, round_bytes=10_000, most_rounds=3)
+    assert seen == ["true", "true"] and once.inputFiles()
+    assert rows_of(once) == rows_of(dedup.drop_repeats(silver))
+    assert once.columns == silver.columns
+    nobody = silver.where("review_id IS NULL")
+    assert rows_of(dedup.drop_repeats_in_rounds(nobody, round_bytes=1)) == rows_of(nobody)
+
+
 def test_the_preview_skips_rows_without_an_offset(make_silver, spark):
     silver = make_silver([{"review_id": str(n), "text": "t"} for n in range(30)])
     silver = silver.withColumn("offset", F.when(F.col("review_id").cast("int") < 25, F.col("review_id").cast("long")))
